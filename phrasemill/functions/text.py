@@ -5,6 +5,7 @@ All run on the JVM. White space is Python's: Unicode White_Space and U+001C..U+0
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from functools import reduce
@@ -84,7 +85,7 @@ def lookup(table: dict[str, str], w: Column, slots: int = 64) -> Column:
     dealt: list[dict[str, str]] = [{} for _ in range(slots)]
     for k, v in table.items():
         dealt[zlib.crc32(k.encode()) % slots][k] = v
-    maps = F.array(*[F.create_map(*[F.lit(x) for e in (d or {"": ""}).items() for x in e]) for d in dealt])
+    maps = F.from_json(F.lit(json.dumps(dealt, ensure_ascii=False)), "array<map<string,string>>")  # folds to one literal
     return F.coalesce(F.try_element_at(F.get(maps, (F.crc32(w.cast("binary")) % slots).cast("int")), w), w)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lexicon import DEFAULT, Lexicon
+from ..plans.storage import stored
 from .setsim import similar_ids
 
 SCOPE = ["tool", "batch"]
@@ -119,6 +120,7 @@ def _results(c: DataFrame, signal: Column, source: Column, frequency: Column) ->
 def cross_dedup(results: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     """Without low-volume rows that resemble (Jaccard 3/4) a standard row of their tool, by the keys of canonical keywords."""
     keys = results.select("tool", "batch", F.col("leader_rank").alias("id"), X.keyword_key(F.col("canonical_keyword"), F.col("tool"), lex).alias("key"))
+    keys = stored(keys, "result-keys")  # read four times below; the key expression runs once
     low, std = (keys.where(F.col("batch") == b).select("tool", "id", "key") for b in ("low_volume", "standard"))
     drop = similar_ids(low, std, ["tool"], *CROSS).select("tool", F.lit("low_volume").alias("batch"), F.col("id").alias("leader_rank"))
     return results.join(drop, ["tool", "batch", "leader_rank"], "left_anti")

@@ -34,6 +34,7 @@ class Consolidation:
         self.keywords, self.titles, self.s = keywords, titles, settings or Settings()
         self._rows: DataFrame | None = None
         self._groups: DataFrame | None = None
+        self._index: DataFrame | None = None
 
     def rows(self) -> DataFrame:
         """Relevant keywords with their keys."""
@@ -47,7 +48,9 @@ class Consolidation:
         return self._groups
 
     def index(self) -> DataFrame:
-        return O.title_index(self.titles, self.s.lexicon)
+        if self._index is None:
+            self._index = stored(O.title_index(self.titles, self.s.lexicon), "title-index")
+        return self._index
 
     def _of(self, df: DataFrame, batch: str) -> DataFrame:
         return df.where(F.col("batch") == batch)
