@@ -25,23 +25,33 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-BUCKETS = 4096
+BUCKETS = 1 << 14
 GRAM = 4
 STEPS = 20
-RATE = 2.0
+RATE = 8.0
 DECAY = 1e-3
 MAX_TRAINING = 10_000
 
-#: A small labelled table: hosts and paths that a crawl would keep, or not.
-GOOD_SITES = ("news.example.org", "www.library.example.org", "docs.example.org", "blog.garden.example.net", "m.recipes.example.org", "history.example.net", "www.science.example.org", "school.example.net", "weather.example.org", "museum.example.net")
-BAD_SITES = ("cheap-pills.example.org", "spam-farm.example.net", "www.casino-bonus.example.org", "free-download.example.net", "adult-video.example.org", "win-prize.example.net", "click-ads.example.org", "replica-watch.example.net", "loan-fast.example.org", "xxx-cam.example.net")
-GOOD_PATHS = ("/en/12", "/de/articles/34.html", "/fr/56/", "/es/about", "/en/archive/2020/78")
-BAD_PATHS = ("/en/buy-now", "/de/offer.php", "/fr/bonus/", "/es/free", "/en/click/90")
+#: A small labelled table. Names are dealt over the same ends, subdomains and paths, so only names tell good from bad.
+GOOD_NAMES = (
+    "news", "library", "docs", "garden", "recipes", "history", "science", "school", "weather", "museum", "theatre", "thinking",
+    "nation", "station", "other", "leather", "northern", "mountain", "river", "attention", "question", "english", "rhythm", "within",
+)
+BAD_NAMES = (
+    "cheap-pills", "spam-farm", "casino-bonus", "free-download", "adult-video", "win-prize",
+    "ads-click", "replica-watch", "loan-fast", "xxx-cam", "bets-online", "track-popup",
+)
+ENDS = ("example.com", "example.net", "example.org")
+SUBDOMAINS = ("", "www.", "m.", "blog.")
+PATHS = ("/en/12", "/de/345.html", "/fr/56/", "/es/789", "/en/archive/2020/78", "")
 
 
 def training_table(spark: SparkSession) -> DataFrame:
-    rows = [(f"https://{s}{p}", 0) for s in GOOD_SITES for p in GOOD_PATHS]
-    rows += [(f"https://{s}{p}", 1) for s in BAD_SITES for p in (*BAD_PATHS, *GOOD_PATHS)]
+    rows = []
+    for bad, names in enumerate((GOOD_NAMES, BAD_NAMES)):
+        for i, name in enumerate(names):
+            for j, end in enumerate(ENDS):
+                rows.append((f"https://{SUBDOMAINS[(i + j) % 4]}{name}.{end}{PATHS[(i + 2 * j) % 6]}", bad))
     return spark.createDataFrame(rows, "url string, bad int")
 
 
