@@ -1,19 +1,20 @@
 """Quality classifier by importance resampling (operator 5).
 
-Two generative models over hashed word 1-grams and 2-grams: the target (labelled good: quality 1
-and toxic 0) and the raw text (every document). A document's weight is the ratio of their
-likelihoods, as a log: the sum over its n-grams of
+Two generative models over hashed word 1-grams and 2-grams (which of them a document holds): the
+target (labelled good: quality 1 and toxic 0) and the raw text (every document). A document's
+weight is the ratio of their likelihoods, as a log: the sum over the buckets it holds of
 
-    log((target count + prior) / (expected target count + prior)),
+    log((target documents + prior) / (expected target documents + prior)),
 
-where a bucket's expected count is the target's size times its share of the raw text. The prior
-holds rare buckets near a ratio of one. Documents whose own words are in the target model
-have them taken out first, so labelled and unlabelled documents are weighed alike.
+where the expectation is the target's share of all documents times the bucket's documents. Buckets
+whose target count is within ``min_z`` standard deviations of its expectation (binomial) carry no
+evidence and count zero, so rare words don't add up to noise. The document itself is taken out
+of the counts it is judged by, so labelled and unlabelled documents are weighed alike.
 
 The sample is drawn by Gumbel top-k: k documents with the largest log weight + Gumbel noise (a
 function of doc_id, text and seed, so runs agree). k is the number of documents whose log
-weight passes the threshold that best separates labelled good from labelled bad documents (mean
-of both recalls); it follows the data at any size. The k-th largest key is found exactly
+weight passes the threshold that best separates labelled good from labelled bad documents while it
+keeps at least ``MIN_KEPT`` of the good; it follows the data at any size. The k-th largest key is found exactly
 by counting, 16 bits a pass, never by sorting on one machine.
 
 Labelled rows: at most ``max_labelled``, those whose hash of doc_id is smallest. The raw model
@@ -30,6 +31,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +41,21 @@ from pyspark.sql import functions as F
 from .common import split_text_key, stored, tune
 
 BUCKETS = 1 << 18
-PRIOR = 8.0
+PRIOR = 0.1
+MIN_Z = 5.0
+MIN_KEPT = 0.97
 MAX_LABELLED = 50_000
 SEED = 5
 GRAM = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 MAX_WORDS = 500_000
+#: 2-grams from which a text has a repetition gram.
+SHAPED = 8
 
 _HASHES: dict[str, int] = {}
 
 
 def grams(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
-    """Buckets of a text's 1-grams and 2-grams (case folded by lower)."""
+    """The distinct buckets of a text's 1-grams and 2-grams (case folded by lower), ascending."""
     words = GRAM.findall((text or "").lower())
     if len(_HASHES) > MAX_WORDS:
         _HASHES.clear()
@@ -57,7 +63,11 @@ def grams(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
         _HASHES[w] = zlib.crc32(w.encode("utf-8", "surrogatepass"))
     h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     pairs = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(32)
-    return (np.concatenate([h * np.uint64(0x9E3779B1) >> np.uint64(8), pairs]) % np.uint64(buckets)).astype(np.int64)
+    if len(pairs) >= SHAPED:
+        # A gram for how much the text repeats itself: tenths of 2-grams that are distinct.
+        shape = zlib.crc32(b"\0distinct %d" % (10 * len(np.unique(pairs)) // len(pairs)))
+        pairs = np.append(pairs, np.uint64(shape))
+    return np.unique((np.concatenate([h * np.uint64(0x9E3779B1) >> np.uint64(8), pairs]) % np.uint64(buckets)).astype(np.int64))
 
 
 def chosen_labels(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -76,67 +86,75 @@ def tagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return mine.join(F.broadcast(labels), "doc_id", "left").select("doc_id", "_k", "text", "good")
 
 
-def fit(rows: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> np.ndarray:
-    """(expected, target) counts a bucket, by one pass over all rows; a table of ``buckets`` rows comes to the driver."""
+@dataclass(frozen=True)
+class Model:
+    """Documents and target documents in all, and that hold each bucket."""
+
+    n_raw: int
+    n_target: int
+    raw: np.ndarray
+    target: np.ndarray
+    prior: float = PRIOR
+    min_z: float = MIN_Z
+
+    def log_ratio(self, b: np.ndarray | slice = slice(None), own: bool = False, labelled_good: bool = False) -> np.ndarray:
+        """Evidence of buckets; ``own``: without one document that holds them all."""
+        raw, target = self.raw[b] - own, self.target[b] - (own and labelled_good)
+        share = (self.n_target - (own and labelled_good)) / max(self.n_raw - own, 1)
+        expected = raw * share
+        far = np.abs(target - expected) >= self.min_z * np.sqrt(np.maximum(expected * (1 - share), 1e-9))
+        return np.where(far & (raw > 0), np.log((np.maximum(target, 0) + self.prior) / (expected + self.prior)), 0.0)
+
+
+def fit(rows: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, min_z: float = MIN_Z) -> Model:
+    """Document counts by one pass over all rows (text, good); a table of ``buckets`` + 1 rows comes to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        raw, target = np.zeros(buckets + 1, np.int64), np.zeros(buckets + 1, np.int64)  # the last counts documents
         for batch in batches:
             for text, good in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                g = grams(text, buckets)
-                np.add.at(raw, g, 1)
+                g = np.append(grams(text, buckets), buckets)
+                raw[g] += 1
                 if good == 1:
-                    np.add.at(target, g, 1)
+                    target[g] += 1
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"])
 
     counts = rows.select("text", "good").mapInArrow(run, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    table = np.zeros((2, buckets))
-    for r in counts.toLocalIterator():
-        table[:, r.bucket] = r.raw, r.target
-    expected = table[0] / max(table[0].sum(), 1) * table[1].sum()
-    return np.stack([expected, table[1]])
-
+    table = np.zeros((2, buckets + 1), np.int64)
+    for batch in counts.toArrow().to_batches():
+        table[:, batch.column(0).to_numpy()] = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+    return Model(int(table[0, -1]), int(table[1, -1]), table[0, :-1], table[1, :-1], prior, min_z)
 
-def log_weight(g: np.ndarray, model: np.ndarray, own: bool, prior: float = PRIOR) -> float:
-    """The log ratio of a document's n-grams; ``own``: its counts are in the target model and are taken out."""
-    if not len(g):
-        return 0.0
-    if own:
-        b, n = np.unique(g, return_counts=True)
-        return float(n @ np.log((np.maximum(model[1, b] - n, 0) + prior) / (model[0, b] + prior)))
-    return float(np.log((model[1, g] + prior) / (model[0, g] + prior)).sum())
 
+def threshold(scores: np.ndarray, good: np.ndarray, min_kept: float = MIN_KEPT) -> float:
+    """The log weight that separates labelled good from bad best, of those that keep ``min_kept`` of the good.
 
-def threshold(scores: np.ndarray, good: np.ndarray) -> float:
-    """The log weight that separates labelled good from bad best; minus infinity without both kinds."""
+    Best: the largest share of good kept plus share of bad gone. Minus infinity without both kinds.
+    """
     if not good.any() or good.all():
         return float("-inf")
     order = np.argsort(scores, kind="stable")
     s, g = scores[order], good[order]
-    # Cutting below s[i] keeps i.. ; recall of good plus share of bad that goes.
+    # Cutting below s[i] keeps i and all after it.
     kept = (g.sum() - np.cumsum(g) + g) / g.sum()
     gone = (np.cumsum(~g) - ~g) / (~g).sum()
     first = np.concatenate([[True], s[1:] > s[:-1]])
-    value = np.where(first, kept + gone, -1)
-    i = int(value.argmax())
+    i = int(np.where(first & (kept >= min_kept), kept + gone, -1).argmax())
     return float((s[i] + s[i - 1]) / 2) if i else float("-inf")
 
 
-def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS, prior: float = PRIOR, min_z: float = MIN_Z) -> DataFrame:
     """doc_id, _k, good, log_weight of every row, stored in the shared folder."""
     tune(docs.sparkSession)
     rows = tagged(docs, stored(chosen_labels(labels, max_labelled), "quality-labels"))
-    model = docs.sparkSession.sparkContext.broadcast(fit(rows, buckets, prior))  # 16 bytes a bucket
+    model = docs.sparkSession.sparkContext.broadcast(fit(rows, buckets, prior, min_z))  # 16 bytes a bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = model.value
-        ratio = np.log((table[1] + prior) / (table[0] + prior))
+        m = model.value
         for batch in batches:
-            out = []
-            for text, good in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                g = grams(text, buckets)
-                out.append(log_weight(g, table, True, prior) if good == 1 else float(ratio[g].sum()))
+            goods = batch.column(3).to_pylist()
+            out = [float(m.log_ratio(grams(t, buckets), True, good == 1).sum()) for t, good in zip(batch.column(2).to_pylist(), goods)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(out, pa.float64())], ["doc_id", "_k", "good", "log_weight"])
 
     return stored(rows.mapInArrow(run, "doc_id long, _k long, good int, log_weight double"), "quality-scores")
@@ -160,9 +178,9 @@ def kth_largest(keys: DataFrame, k: int) -> int | None:
     return prefix - 2**63
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS, prior: float = PRIOR, seed: int = SEED) -> DataFrame:
+def sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS, prior: float = PRIOR, min_z: float = MIN_Z, seed: int = SEED) -> DataFrame:
     """The sampled rows: doc_id, _k, log_weight, gumbel_key, selected (always true)."""
-    scores = score(docs, labels, max_labelled, buckets, prior)
+    scores = score(docs, labels, max_labelled, buckets, prior, min_z)
     known = scores.where("good is not null").select("log_weight", "good").limit(2 * max_labelled).toPandas()  # bounded by max_labelled (twice for repeated ids)
     cut = threshold(known.log_weight.to_numpy(float), known.good.to_numpy() == 1)
     k = scores.where(F.col("log_weight") >= cut).count()

@@ -255,7 +255,7 @@ def test_decontaminate(spark):
 
 def test_quality_keeps_good_and_drops_bad(spark):
     rng = np.random.default_rng(5)
-    good, bad = [f"fine{i}" for i in range(200)], [f"junk{i}" for i in range(30)]
+    good, bad = [f"fine{i}" for i in range(200)], [f"junk{i}" for i in range(8)]
     rows, labels = [], []
     for i in range(400):
         is_bad = i % 4 == 0
