@@ -62,11 +62,11 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """``df`` written to the shared folder and read again: a lineage cut that survives lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,7 +10,7 @@ decoder in lockstep, one sample of every frame a step. Frames are independent, s
 also the unit of seeking: ``pcm_blocks`` gives a row a frame with its sample offset.
 
 Edge cases: null text is empty; the empty payload is padded to 64 zero bytes (constant
-subframe); texts of any length are cut into frames of 1024 samples; equal texts give equal
+subframe); texts of any length are cut into frames of 2048 samples; equal texts give equal
 bytes; a damaged stream raises ``FlacError`` in ``decode`` and gives a row with an error and
 no samples in ``pcm_blocks``; repeated rows and null ids are kept; extra columns are ignored.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from .common import tune
 
-BLOCK = 1024
+BLOCK = 2048
 RATE = 8000
 UNIT = 64
 
