@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.ship import ship
 from .consolidate import CHUNK, apply_fixes, chunked
 
 FIXES = "tool string, idx long, fixed_title string, irrelevant boolean, duplicate_of long, error string"
@@ -29,6 +30,7 @@ def unfenced(reply: str) -> str:
 
 def propose(ranked: DataFrame, ask: Callable[[str, list[dict]], str | list[dict]], size: int = CHUNK, pause: float = 0.0) -> DataFrame:
     """Fix records of every chunk; failures are rows with ``error``. ``ask`` gets the tool and the entries."""
+    ship(ranked.sparkSession)
     rows = chunked(ranked, size).select("tool", "chunk", "idx_in_chunk", "canonical_keyword", "category", F.left("all_variants", F.lit(SHOWN_CHARS)).alias("variants"))
 
     def run(pdf):

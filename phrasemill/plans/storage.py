@@ -13,7 +13,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="phrasemill-")
         spark.conf.set("spark.checkpoint.dir", base)

@@ -18,6 +18,8 @@ from xml.etree import ElementTree as ET
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.ship import ship
+
 CELLS = "path string, sheet_idx int, sheet string, row_idx int, col_idx int, value string"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
@@ -127,4 +129,5 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
                 for i in range(0, len(rows), 100_000):
                     yield pd.DataFrame(rows[i : i + 100_000], columns=columns)
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(unpack, CELLS)
