@@ -5,18 +5,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.ship import ship
+
 #: Rows handed to Python at once; long texts make rows large, so batches are kept short.
 ARROW_ROWS = 1000
 ARROW_BYTES = 16 << 20
 
-TOKENIZER_DIR_ENV = "PUBLIC_TOKENIZERS_DIR"
-
 
 def tokenizer_path(name: str, directory: str | None = None) -> str:
     """Place of a public vocabulary file; ``directory`` overrides the installed package."""
@@ -27,20 +26,6 @@ def tokenizer_path(name: str, directory: str | None = None) -> str:
     return public_tokenizers.path(name)
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once an application, as ``--py-files`` would."""
-    sc = spark.sparkContext
-    if getattr(sc, "_phrasemill_shipped", False):
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="phrasemill-")) / "phrasemill_package.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(str(archive))
-    sc._phrasemill_shipped = True
-
-
 def tune(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for two Python workers beside one executor heap; ship the package."""
     ship(spark)
@@ -55,7 +40,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="phrasemill-")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -70,6 +55,15 @@ def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shielded(docs: DataFrame, taken: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)``, with columns of ``docs`` whose names ``work`` uses for itself out of the way meanwhile."""
+    own = {t.lower() for t in taken}
+    away = {c: f"{c}_{uuid.uuid4().hex}" for c in docs.columns if c.lower() in own}
+    if not away:
+        return work(docs)
+    return work(docs.withColumnsRenamed(away)).withColumnsRenamed({v: k for k, v in away.items()})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import split_text_key, stored, tune
+from .common import shielded, split_text_key, stored, tune
 
 BUCKETS = 1 << 18
 PRIOR = 0.1
@@ -197,5 +197,9 @@ def sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 def keep(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that the sample holds."""
     chosen = sample(docs, labels, **how).select(F.col("doc_id").alias("_id"), "_k").distinct()
-    keyed = docs.withColumn("_key", split_text_key(F.col("text")))
-    return keyed.join(chosen, keyed["doc_id"].cast("long").eqNullSafe(chosen["_id"]) & (keyed["_key"] == chosen["_k"]), "left_semi").drop("_key")
+
+    def held(mine: DataFrame) -> DataFrame:
+        keyed = mine.withColumn("_key", split_text_key(F.col("text")))
+        return keyed.join(chosen, keyed["doc_id"].cast("long").eqNullSafe(chosen["_id"]) & (keyed["_key"] == chosen["_k"]), "left_semi").drop("_key")
+
+    return shielded(docs, ("_key", "_id", "_k"), held)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import split_text_key, stored, tune
+from .common import shielded, split_text_key, stored, tune
 
 SHINGLE = 3
 RADIUS = 2
@@ -240,6 +240,10 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> Data
     """
     found = groups(docs, size, radius).withColumn("component_id", F.coalesce("component_id", F.xxhash64("fp")))
     keep = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_k")).alias("m")).select(F.col("m.doc_id").alias("_keep_id"), F.col("m._k").alias("_keep_k"))
-    keyed = docs.withColumn("_keep_key", split_text_key(F.col("text")))
-    joined = keyed.join(keep, keyed["doc_id"].cast("long").eqNullSafe(keep["_keep_id"]) & (keyed["_keep_key"] == keep["_keep_k"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_keep_key"]).drop("_keep_key")
+
+    def held(mine: DataFrame) -> DataFrame:
+        keyed = mine.withColumn("_keep_key", split_text_key(F.col("text")))
+        joined = keyed.join(keep, keyed["doc_id"].cast("long").eqNullSafe(keep["_keep_id"]) & (keyed["_keep_key"] == keep["_keep_k"]), "left_semi")
+        return joined.dropDuplicates(["doc_id", "_keep_key"]).drop("_keep_key")
+
+    return shielded(docs, ("_keep_key", "_keep_id", "_keep_k"), held)

@@ -275,6 +275,17 @@ def test_quality_keeps_good_and_drops_bad(spark):
     assert quality.sample(docs.where("false"), table).count() == 0
 
 
+def test_clashing_names_survive(spark):
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    names = ["_words", "_key", "_keep_key", "_K", "_spans"]
+    docs = spark.createDataFrame([(i, t, *[f"{n}{i}" for n in names]) for i, t in HITS[:5]], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for kept in (decontaminate.clean(docs, bench), decontaminate.clean(docs, bench, max_windows=1), simhash.keep_one(docs), quality.keep(docs, labels)):
+        assert kept.columns == docs.columns
+        rows = kept.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
 def test_kth_largest(spark):
     keys = [5, -7, 5, 0, 2**40, -(2**40), 3]
     df = spark.createDataFrame([(k,) for k in keys], "key long")
