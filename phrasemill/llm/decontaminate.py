@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, split_text_key
+from .common import ascii_lower, shielded, split_text_key
 
 N = 10
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -118,8 +118,9 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = N, max_windows: int =
     items = windows_of(benchmark, n).groupBy(F.xxhash64(F.split("w", " ")).alias("h")).agg(F.collect_set("item_id").alias("items"))
     found = (
         hits.join(F.broadcast(items), "h", "left")  # at most max_windows rows
-        .groupBy("doc_id", "_k", "n_words", "n_hit")
-        .agg(F.count_if(F.col("h").isNull()).alias("times"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+        .groupBy("doc_id", "_k")
+        # Aggregates, so that a filter on them isn't pushed down to the scan and its words (see ``_clean``).
+        .agg(F.max("n_words").alias("n_words"), F.max("n_hit").alias("n_hit"), F.count_if(F.col("h").isNull()).alias("times"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     )
     return _described(found)
 
@@ -149,6 +150,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, n: int = N, remove: str = "docu
 
     Span removal cuts the text from the first to the last character of each run of hit words.
     """
+    return shielded(docs, ("_words", "_spans", "_n_hit", "_gaps", "_raw", "_key", "_id", "_k"), lambda mine: _clean(mine, benchmark, n, remove, max_windows))
+
+
+def _clean(docs: DataFrame, benchmark: DataFrame, n: int, remove: str, max_windows: int) -> DataFrame:
     marked = annotate(docs, benchmark, n, max_windows)
     if marked is None:
         hits = _joined(docs, benchmark, n).groupBy("doc_id", "_k").agg(F.collect_set(F.expr("struct(pos, end, 0L AS h)")).alias("_spans")).withColumnRenamed("doc_id", "_id")
@@ -156,7 +161,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, n: int = N, remove: str = "docu
         marked = keyed.join(hits, keyed["doc_id"].cast("long").eqNullSafe(hits["_id"]) & (keyed["_key"] == hits["_k"]), "left").drop("_id", "_k", "_key")
         marked = marked.withColumn("_spans", F.coalesce("_spans", F.expr(NO_SPANS))).withColumn("_n_hit", F.expr(COVERED)).withColumn("_words", words_of(F.col("text")))
     if remove == "documents":
-        return marked.where("_n_hit = 0").select(*docs.columns)
+        # A filter on _n_hit would be pushed below the projections, which would then split the text anew for
+        # every word; it can't pass the row that explode makes.
+        return marked.select(*docs.columns, F.explode(F.array("_n_hit")).alias("_n_hit")).where("_n_hit = 0").select(*docs.columns)
     # Words in their own case, and the text before each and after the last: the two alternate.
     any_case = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     kept = """transform(sequence(0, size(_words)), i -> concat(
