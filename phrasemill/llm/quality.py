@@ -6,10 +6,13 @@ weight is the ratio of their likelihoods, as a log: the sum over the buckets it
 
     log((target documents + prior) / (expected target documents + prior)),
 
-where the expectation is the target's share of all documents times the bucket's documents. Buckets
-whose target count is within ``min_z`` standard deviations of its expectation (binomial) carry no
-evidence and count zero, so rare words don't add up to noise. The document itself is taken out
-of the counts it is judged by, so labelled and unlabelled documents are weighed alike.
+where the expectation is the target's share of all documents times the bucket's documents. So that
+rare words don't add up to noise, evidence is shrunk by max(0, 1 - c^2 / z^2), where z is the
+distance of the target count from its expectation in standard deviations (binomial). How many
+documents a bucket needs depends on the table, so c is not fixed: each of ``SHRINKS`` is scored and
+the one that separates labelled good from labelled bad documents best is taken. The document itself
+is taken out of the counts it is judged by, so labelled and unlabelled documents are weighed alike
+and labelled ones are held out for that choice.
 
 The sample is drawn by Gumbel top-k: k documents with the largest log weight + Gumbel noise (a
 function of doc_id, text and seed, so runs agree). k is the number of documents whose log
@@ -42,7 +45,8 @@ from .common import shielded, split_text_key, stored, tune
 
 BUCKETS = 1 << 18
 PRIOR = 0.1
-MIN_Z = 5.0
+#: Candidates of the shrinkage, in standard deviations; the labels decide.
+SHRINKS = (1.0, 1.5, 2.0, 2.5, 3.0, 4.0, 6.0)
 MIN_KEPT = 0.97
 MAX_LABELLED = 50_000
 SEED = 5
@@ -95,18 +99,19 @@ class Model:
     raw: np.ndarray
     target: np.ndarray
     prior: float = PRIOR
-    min_z: float = MIN_Z
+    shrinks: tuple[float, ...] = SHRINKS
 
-    def log_ratio(self, b: np.ndarray | slice = slice(None), own: bool = False, labelled_good: bool = False) -> np.ndarray:
-        """Evidence of buckets; ``own``: without one document that holds them all."""
-        raw, target = self.raw[b] - own, self.target[b] - (own and labelled_good)
-        share = (self.n_target - (own and labelled_good)) / max(self.n_raw - own, 1)
-        expected = raw * share
-        far = np.abs(target - expected) >= self.min_z * np.sqrt(np.maximum(expected * (1 - share), 1e-9))
-        return np.where(far & (raw > 0), np.log((np.maximum(target, 0) + self.prior) / (expected + self.prior)), 0.0)
+    def evidence(self, labelled_good: bool) -> np.ndarray:
+        """Shrunk evidence (bucket, shrinkage) for a document that holds the bucket, without that document's own counts."""
+        raw, target = self.raw - 1, self.target - labelled_good
+        share = (self.n_target - labelled_good) / max(self.n_raw - 1, 1)
+        expected = np.maximum(raw, 0) * share
+        z2 = (target - expected) ** 2 / np.maximum(expected * (1 - share), 1e-9)
+        ratio = np.where(raw > 0, np.log((np.maximum(target, 0) + self.prior) / (expected + self.prior)), 0.0)
+        return ratio[:, None] * np.maximum(0.0, 1 - np.square(self.shrinks) / np.maximum(z2, 1e-9)[:, None])
 
 
-def fit(rows: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, min_z: float = MIN_Z) -> Model:
+def fit(rows: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, shrinks: tuple[float, ...] = SHRINKS) -> Model:
     """Document counts by one pass over all rows (text, good); a table of ``buckets`` + 1 rows comes to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +129,7 @@ def fit(rows: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, min_z: fl
     table = np.zeros((2, buckets + 1), np.int64)
     for batch in counts.toArrow().to_batches():
         table[:, batch.column(0).to_numpy()] = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-    return Model(int(table[0, -1]), int(table[1, -1]), table[0, :-1], table[1, :-1], prior, min_z)
+    return Model(int(table[0, -1]), int(table[1, -1]), table[0, :-1], table[1, :-1], prior, tuple(shrinks))
 
 
 def threshold(scores: np.ndarray, good: np.ndarray, min_kept: float = MIN_KEPT) -> float:
@@ -144,20 +149,35 @@ def threshold(scores: np.ndarray, good: np.ndarray, min_kept: float = MIN_KEPT)
     return float((s[i] + s[i - 1]) / 2) if i else float("-inf")
 
 
-def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS, prior: float = PRIOR, min_z: float = MIN_Z) -> DataFrame:
-    """doc_id, _k, good, log_weight of every row, stored in the shared folder."""
+def separation(scores: np.ndarray, good: np.ndarray, cut: float) -> float:
+    """Share of good kept plus share of bad gone."""
+    return float((scores[good] >= cut).mean() + (scores[~good] < cut).mean()) if good.any() and not good.all() else 0.0
+
+
+def chosen_shrink(weights: np.ndarray, good: np.ndarray) -> tuple[int, float]:
+    """(column, threshold) of the shrinkage that separates the labelled documents best; of equals the strongest."""
+    cuts = [threshold(w, good) for w in weights.T]
+    gains = [separation(w, good, c) for w, c in zip(weights.T, cuts)]
+    best = max(range(len(cuts)), key=lambda i: (gains[i], i))
+    return best, cuts[best]
+
+
+def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS, prior: float = PRIOR, shrinks: tuple[float, ...] = SHRINKS) -> DataFrame:
+    """doc_id, _k, good, log_weights (one a shrinkage) of every row, stored in the shared folder."""
     tune(docs.sparkSession)
     rows = tagged(docs, stored(chosen_labels(labels, max_labelled), "quality-labels"))
-    model = docs.sparkSession.sparkContext.broadcast(fit(rows, buckets, prior, min_z))  # 16 bytes a bucket
+    model = docs.sparkSession.sparkContext.broadcast(fit(rows, buckets, prior, shrinks))  # 16 bytes a bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
+        of = {good: m.evidence(good) for good in (False, True)}
         for batch in batches:
-            goods = batch.column(3).to_pylist()
-            out = [float(m.log_ratio(grams(t, buckets), True, good == 1).sum()) for t, good in zip(batch.column(2).to_pylist(), goods)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(out, pa.float64())], ["doc_id", "_k", "good", "log_weight"])
+            out = [of[good == 1][grams(t, buckets)].sum(axis=0) for t, good in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            flat = pa.array(np.concatenate([*out, np.zeros(0)]), pa.float64())
+            weights = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * len(m.shrinks), pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), weights], ["doc_id", "_k", "good", "log_weights"])
 
-    return stored(rows.mapInArrow(run, "doc_id long, _k long, good int, log_weight double"), "quality-scores")
+    return stored(rows.mapInArrow(run, "doc_id long, _k long, good int, log_weights array<double>"), "quality-scores")
 
 
 def kth_largest(keys: DataFrame, k: int) -> int | None:
@@ -178,11 +198,13 @@ def kth_largest(keys: DataFrame, k: int) -> int | None:
     return prefix - 2**63
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS, prior: float = PRIOR, min_z: float = MIN_Z, seed: int = SEED) -> DataFrame:
+def sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS, prior: float = PRIOR, shrinks: tuple[float, ...] = SHRINKS, seed: int = SEED) -> DataFrame:
     """The sampled rows: doc_id, _k, log_weight, gumbel_key, selected (always true)."""
-    scores = score(docs, labels, max_labelled, buckets, prior, min_z)
-    known = scores.where("good is not null").select("log_weight", "good").limit(2 * max_labelled).toPandas()  # bounded by max_labelled (twice for repeated ids)
-    cut = threshold(known.log_weight.to_numpy(float), known.good.to_numpy() == 1)
+    weighed = score(docs, labels, max_labelled, buckets, prior, shrinks)
+    known = weighed.where("good is not null").select("log_weights", "good").limit(2 * max_labelled).toArrow()  # bounded by max_labelled (twice for repeated ids)
+    held_out = known["log_weights"].combine_chunks().flatten().to_numpy().reshape(known.num_rows, len(shrinks))
+    column, cut = chosen_shrink(held_out, known["good"].to_numpy() == 1)
+    scores = weighed.withColumn("log_weight", F.col("log_weights")[column]).drop("log_weights")
     k = scores.where(F.col("log_weight") >= cut).count()
     # A uniform in (0, 1) from 52 bits of a hash; -log(-log u) is Gumbel noise.
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", "_k", F.lit(seed)), 12).cast("double") + 0.5) / F.lit(float(1 << 52))

@@ -275,6 +275,25 @@ def test_quality_keeps_good_and_drops_bad(spark):
     assert quality.sample(docs.where("false"), table).count() == 0
 
 
+def test_quality_works_on_small_tables(spark):
+    """Bad words that few documents hold each: 30 words of junk, and toxic documents with two of 20 insults."""
+    rng = np.random.default_rng(5)
+    good, junk, insults = [f"fine{i}" for i in range(200)], [f"junk{i}" for i in range(30)], [f"insult{i}" for i in range(20)]
+    for words, n_words, n_docs, every in ((junk, 20, 400, 4), (insults, 2, 1000, 10)):
+        rows, labels, bad = [], [], set()
+        for i in range(n_docs):
+            w = [str(x) for x in rng.choice(good, 60)]
+            if i % every == 0:
+                bad.add(i)
+                w += [str(x) for x in rng.choice(words, n_words, replace=False)]
+            rows.append((i, " ".join(w)))
+            if i // every % 2 == 0:
+                labels.append((i, 1, int(i in bad)))
+        table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        got = {r.doc_id for r in quality.sample(spark.createDataFrame(rows, "doc_id long, text string"), table).collect()}
+        assert len(got & bad) <= len(bad) // 4 and len(got - bad) >= 0.9 * (n_docs - len(bad))
+
+
 def test_clashing_names_survive(spark):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     names = ["_words", "_key", "_keep_key", "_K", "_spans"]
