@@ -240,6 +240,11 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> Data
     """
     found = groups(docs, size, radius).withColumn("component_id", F.coalesce("component_id", F.xxhash64("fp")))
     keep = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_k")).alias("m")).select(F.col("m.doc_id").alias("_keep_id"), F.col("m._k").alias("_keep_k"))
+    return only(docs, keep)
+
+
+def only(docs: DataFrame, keep: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and text key ``keep`` (_keep_id, _keep_k) names, each once."""
 
     def held(mine: DataFrame) -> DataFrame:
         keyed = mine.withColumn("_keep_key", split_text_key(F.col("text")))

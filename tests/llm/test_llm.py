@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from phrasemill.llm import chat, decontaminate, flac, packing, quality, secrets, simhash, token_counts, token_files, tokens, urls
+from phrasemill.llm import chat, decontaminate, flac, minhash, packing, quality, secrets, simhash, token_counts, token_files, tokens, urls
 from phrasemill.llm.common import tokenizer_path
 
 LONG = " ".join(f"word{i % 977} Ünïcode" for i in range(12_000))
@@ -205,6 +205,35 @@ def test_simhash_links_cross_shards(spark):
     assert len({r.root for r in roots}) == 1 and len(roots) == len(chain)
 
 
+def test_near_dedup_stage_finds_near_copies(spark):
+    """Of pairs at Jaccard 0.8 or more one stays, pairs below both stay; exact against all pairs."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng, rows = np.random.default_rng(8), []
+    for g in range(40):
+        base = [f"w{x}" for x in rng.integers(0, 3000, 150)]
+        for copy in range(4 if g else 30):
+            w = list(base)
+            for at in rng.choice(150, (0, 1, 2, 5)[copy % 4], replace=False):
+                w[at] = f"edit{g}x{copy}"
+            rows.append((len(rows), " ".join(w), "clash"))
+    rows += [(len(rows), rows[5][1].upper(), None), (None, rows[8][1], None), (2000, None, None), (2001, " ", None), (2002, "two words", None), (2002, "two words", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _k string")
+    kept = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    shingles = lambda t: {" ".join(w[i : i + 5]) for w in [(t or "").lower().split()] for i in range(max(1, len(w) - 4)) if w}
+    near = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    sets = {(i, t): shingles(t) for i, t, _ in rows}
+    stay = [sets[(r.doc_id, r.text)] for r in kept]
+    assert not any(near(a, b) for i, a in enumerate(stay) for b in stay[:i])
+    label = {k: k for k in sets}
+    for _ in range(4):
+        for a in sets:
+            for b in sets:
+                if near(sets[a], sets[b]):
+                    label[a] = label[b] = min(label[a], label[b], key=lambda k: (k[0] is None, k[0] or 0))
+    assert {label[(r.doc_id, r.text)] for r in kept} == set(label.values())
+    assert len(kept) < 100 and minhash.keep_one(docs.where("false")).count() == 0
+
+
 # Decontamination
 
 
