@@ -7,8 +7,10 @@ exceed the bound, the fullest closes first.
 
 Each task packs the pieces of its own input partition: nothing is shuffled, a lost task is
 redone from its input alone, and the price is at most one part-filled sequence or so a task.
-Pieces arrive in blocks of ``block`` documents' metadata, largest first within a block, which
-fills sequences better than arrival order and keeps memory bounded.
+Pieces arrive in blocks, largest first within a block, which fills sequences better than arrival
+order. A block ends before it can open more sequences than may stay open (best-fit leaves at most
+one of them half empty, so half their room in tokens is the limit), else its large pieces would
+close sequences that its small ones still fit; ``BLOCK`` pieces bound the memory besides.
 
 Edge cases: null text is empty and is one piece (the end id alone); a document of exactly
 ``max_tokens`` ids is one piece; repeated rows and repeated or null doc_ids are packed as the
@@ -74,6 +76,27 @@ class BestFit:
         return n, self.capacity - free
 
 
+class Blocks:
+    """Pieces (tuples whose field ``at`` is the length) until their block is full."""
+
+    def __init__(self, fit: BestFit, most: int = BLOCK, at: int = 3):
+        self.fit, self.most, self.at = fit, most, at
+        self.tokens = fit.open_bins * fit.capacity // 2
+        self.held: list[tuple] = []
+        self.size = 0
+
+    def add(self, piece: tuple) -> bool:
+        """Whether the block is full now."""
+        self.held.append(piece)
+        self.size += piece[self.at]
+        return len(self.held) >= self.most or self.size >= self.tokens
+
+    def flush(self) -> tuple[list[tuple], list[tuple[int, int]]]:
+        """The block's pieces, largest first, and their places."""
+        held, self.held, self.size = sorted(self.held, key=lambda p: -p[self.at]), [], 0
+        return held, [self.fit.place(p[self.at]) for p in held]
+
+
 def pieces(n_ids: int, max_tokens: int = MAX_TOKENS) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces."""
     return [(s, min(max_tokens, n_ids - s)) for s in range(0, n_ids, max_tokens)]
@@ -97,22 +120,20 @@ def pack(
 
         from .tokens import encoder
 
-        enc, fit = encoder(path), BestFit(max_tokens, open_bins)
+        enc = encoder(path)
+        block = Blocks(BestFit(max_tokens, open_bins), BLOCK if not with_ids else BLOCK // 20)
         base = TaskContext.get().partitionId() << 40
         end = np.array([end_id], "<u4").tobytes()
-        held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            held.sort(key=lambda p: -p[3])
+            held, places = block.flush()
             cols = list(zip(*held))
-            places = [fit.place(n) for n in cols[3]]
             arrays = [pa.array(cols[i], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
             arrays += [pa.array([base + p[0] for p in places], pa.int64()), pa.array([p[1] for p in places], pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
             if with_ids:
                 arrays.append(pa.array([np.frombuffer(x, "<u4").astype("i4") for x in cols[5]], pa.list_(pa.int32())))
                 names.append("ids")
-            held.clear()
             return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in batches:
@@ -121,10 +142,9 @@ def pack(
                 ids += end
                 for k, (s, n) in enumerate(pieces(len(ids) // 4, max_tokens)):
                     part = ids[4 * s : 4 * (s + n)]
-                    held.append((doc_id, k, s, n, zlib.crc32(part), part if with_ids else None))
-                if len(held) >= (BLOCK if not with_ids else BLOCK // 20):
-                    yield flush()
-        if held:
+                    if block.add((doc_id, k, s, n, zlib.crc32(part), part if with_ids else None)):
+                        yield flush()
+        if block.held:
             yield flush()
 
     schema = SCHEMA + (", ids array<int>" if with_ids else "")

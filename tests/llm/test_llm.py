@@ -94,6 +94,19 @@ def test_best_fit_takes_the_tightest_and_closes_the_fullest():
     assert fit.place(3) == (2, 7) and fit.place(2) == (1, 5)
 
 
+@pytest.mark.parametrize("lengths", [[3000, 1000] * 10_000, [2500, 1500] * 10_000, np.random.default_rng(2).integers(500, 3501, 60_000).tolist(), np.random.default_rng(3).geometric(1 / 540, 60_000).clip(1, 4096).tolist()], ids=["3000+1000", "2500+1500", "uniform", "short"])
+def test_blocks_pack_near_the_lower_bound(lengths):
+    fit = packing.BestFit()
+    block = packing.Blocks(fit, at=0)
+    for n in lengths:
+        if block.add((n,)):
+            block.flush()
+    block.flush()
+    pairs = {4000: len(lengths) // 2}.get(sum(lengths[:2]), 0)  # two pieces fill a sequence, three don't fit
+    least = max(pairs, -(-sum(lengths) // 4096))
+    assert fit.made <= least * 1.02 + 1
+
+
 def test_pack(spark, docs, empty):
     lib = library("word_bpe_49k.json")
     rows = packing.pack(docs, with_ids=True).collect()
