@@ -2,10 +2,10 @@
 
 Base kinds are found wherever they stand. A credential often comes in parts, though: an access
 identifier here, a secret there, an endpoint beside them. Parts that are too common to report
-alone (a 40-character base64 string, an endpoint) are weak candidates. Each access identifier
-opens a scope of ``scope`` characters on either side; weak parts are joined to the scopes that
-contain them by a sweep over sorted intervals, and reported only when complementary parts
-co-occur: a weak secret needs an identifier in its scope, an endpoint needs an identifier and
+alone (a 40-character base64 string, an endpoint) are weak candidates, found on the whole text of a
+document that has an identifier. Each access identifier opens a scope of ``scope`` characters on
+either side; weak parts are joined to the scopes that they overlap by a sweep over sorted
+intervals, with their full spans, and reported only when complementary parts co-occur: a weak secret needs an identifier in its scope, an endpoint needs an identifier and
 a secret. The sweep is linear after sorting: overlapping scopes are one scope, never pairs.
 
 Edge cases: null text is empty and has no spans; texts of any length are scanned whole; ties in
@@ -70,14 +70,33 @@ def linked_spans(text: str, base: list[Span], width: int = SCOPE) -> list[Span]:
     base = sorted(base)
     taken = [(s, e) for s, _, e in base]
     starts = [s for s, _ in taken]
-    for a, b in scopes(base, width):
-        b = min(b, len(text))
-        weak = [m.span() for m in WEAK_SECRET.finditer(text, a, b) if not _covered(taken, starts, *m.span())]
+    around = scopes(base, width)
+    if not around:
+        return found
+    secret = [m.span() for m in WEAK_SECRET.finditer(text) if not _covered(taken, starts, *m.span())]
+    endpoint = [m.span() for m in ENDPOINT.finditer(text)]
+    weak_in, ends_in = within(around, secret), within(around, endpoint)
+    for (a, b), weak, ends in zip(around, weak_in, ends_in):
         near = base[bisect_left(starts, a) : bisect_right(starts, b)]
         found += [(s, 3, e) for s, e in weak]
         if weak or any(kind in (0, 2) for _, kind, _ in near):
-            found += [(m.start(), 4, m.end()) for m in ENDPOINT.finditer(text, a, b)]
-    return found
+            found += [(s, 4, e) for s, e in ends]
+    # A part that reaches into two scopes is one part.
+    return sorted(set(found))
+
+
+def within(around: list[tuple[int, int]], spans: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """For each scope the spans that overlap it; both are disjoint and in order."""
+    out: list[list[tuple[int, int]]] = []
+    i = 0
+    for a, b in around:
+        while i < len(spans) and spans[i][1] <= a:
+            i += 1
+        j = i
+        while j < len(spans) and spans[j][0] < b:
+            j += 1
+        out.append(spans[i:j])
+    return out
 
 
 def _covered(taken: list[tuple[int, int]], starts: list[int], s: int, e: int) -> bool:

@@ -419,6 +419,18 @@ def test_linking_needs_complementary_parts():
     assert secrets.blanked(near, secrets.find(near)[1]) == "id <access> key <weak_secret> at <endpoint>/x"
 
 
+def test_weak_parts_across_the_edge_of_a_scope():
+    found = lambda t: [(k, t[s:e]) for s, k, e in secrets.find(t)[1]]
+    host = "https://s3.example.com:8443"
+    for gap in range(150, 215):  # spans that begin within the scope and end beyond it are whole
+        for text in (f"{KEY} {'.' * gap} {WEAK} z", f"z {WEAK} {'.' * gap} {KEY}"):
+            assert found(text).count((3, WEAK)) == (gap + 2 < 200)
+            assert not {w for k, w in found(text) if k == 3} - {WEAK}
+        text = f"{KEY} {WEAK} {'.' * (gap - 41)} {host}/x"
+        assert ((4, host) in found(text)) == (gap + 2 < 200) and not any(k == 4 and w != host for k, w in found(text))
+    assert found(f"{KEY} {'.' * 155} {WEAK}{WEAK} z") == [(1, KEY)]  # a longer run is no secret, wherever the edge falls
+
+
 def test_secrets(spark, docs, empty):
     df = spark.createDataFrame([(1, f"token={'a' * 8} {KEY}", 3), (2, None, None), (2, None, None)], "doc_id long, text string, n_chars long")
     got = sorted(secrets.scan(df).collect(), key=lambda r: r.doc_id)
