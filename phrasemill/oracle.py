@@ -167,6 +167,7 @@ ORACLE_SQL: dict[str, str] = {
     "leader_cluster_std": f"{CLUSTERS} SELECT tool, batch, r AS group_rank, leader AS leader_rank FROM cs WHERE r > 0",
     "leader_cluster_low": f"{CLUSTERS} SELECT tool, batch, r AS group_rank, leader AS leader_rank FROM cl WHERE r > 0",
     "leader_cluster_rounds": f"{CLUSTERS} SELECT tool, batch, r AS group_rank, leader AS leader_rank FROM cs WHERE r > 0",
+    "leader_cluster_rounds_low": f"{CLUSTERS} SELECT tool, batch, r AS group_rank, leader AS leader_rank FROM cl WHERE r > 0",
     "coverage_exact": f"{BASE} SELECT tool, batch, key_str FROM g WHERE key_str IN (SELECT key_str FROM tk)",
     "coverage_similar": f"{BASE} SELECT key_str FROM cov",
     "uncovered": f"{BASE} SELECT tool, batch, key_str FROM g WHERE key_str NOT IN (SELECT key_str FROM cov)",

@@ -238,6 +238,11 @@ def leader_cluster_rounds(spark, d):
     return C.iterated(job(spark, d).groups().where("batch = 'standard'"), *O.STD_THRESHOLD)
 
 
+@query
+def leader_cluster_rounds_low(spark, d):
+    return C.iterated(job(spark, d).groups().where("batch = 'low_volume'"), *O.LOW_THRESHOLD)
+
+
 @query
 def coverage_exact(spark, d):
     j = job(spark, d)

@@ -202,3 +202,11 @@ def test_query_equals_sql(spark, tmp_path, name):
     cols = ", ".join(f'"{c}"' for c in df.columns)
     want = sorted(map(repr, con.sql(f"select {cols} from ({oracle.ORACLE_SQL[name]})").fetchall()))
     assert sorted(map(repr, con.sql(f"select {cols} from '{tmp_path}/q/*.parquet'").fetchall())) == want
+
+
+def test_rounds_query_of_each_batch_equals_the_scan(spark):
+    from phrasemill.queries import QUERIES
+
+    rows = lambda name: sorted(map(tuple, QUERIES[name](spark, "/root/testdata/sf0.001").collect()))
+    for rounds, scan in (("leader_cluster_rounds", "leader_cluster_std"), ("leader_cluster_rounds_low", "leader_cluster_low")):
+        assert rows(rounds) == rows(scan) != []
