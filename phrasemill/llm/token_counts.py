@@ -1,28 +1,43 @@
 """Token counts by a compiled finite-state transducer (operator 8).
 
-The tokenizer is compiled, arc by arc as the data needs them, into a deterministic transducer.
-Its arcs are labelled with units (a run of white space and a run of other characters; no
-pre-token of the vocabulary crosses a unit's start) and annotated with the number of tokens
-that the unit emits, taken from the tokenizers library when an arc is first walked.
-
-A text is read in chunks. The state at a chunk's edge is the unit that is still open, so a
-chunk's map from entry state to exit state and emitted count is finite to write down:
-
-* ``head``: the characters up to the first unit start, which finish whatever unit is open;
-* ``count``: the tokens of the units that lie wholly inside;
-* ``tail``: the unit left open; a chunk without a unit start is all head (``tail`` is None).
-
-Composing maps is associative, so chunks are counted independently and combined by a parallel
-prefix scan (pairs, then pairs of pairs), here within the task that holds the row.
-
-Edge cases: null text counts as empty (0 bytes, 0 tokens); texts that hold the string of an
-added token are counted by the library whole, as its default has it; repeated rows give
-repeated rows; an empty table gives no rows; other columns are ignored.
+A byte-level byte-pair tokenizer is compiled into a deterministic transducer over characters. Each
+arc is annotated with the number of tokens that are certain once its character is read; a final
+count per state covers what is still open at the end of a text.
+
+States. A state says which kind of pre-token is running and which end of the text is *open*, that
+is, may still be cut into tokens in more than one way:
+
+* ``""``: between pre-tokens, nothing open;
+* ``"?"``: one white-space character, or an apostrophe that may begin a contraction;
+* ``L``, ``N``, ``O``, ``W``: a run of letters, numbers, others or white space, whose open end follows.
+
+Which end is open. Let b be the bytes of a run so far. A prefix of a merge encoding that ends at a
+token's edge is the encoding of that prefix, so whatever follows, the tokens of b begin with the
+tokens of b[:p] for some p at which a token starts that reaches beyond b; b[p:] then is a proper
+prefix of some token. An edge that the encodings of b[:p] have in common for all such p is fixed: its
+tokens are emitted, and only what follows it stays in the state. So states don't grow with words: a
+state is a few tokens long, and words share them.
+
+There are too many states to build all ahead (README has counts), so arcs are compiled when first
+walked and kept; the library's merge model cuts the open end when an arc is compiled, never a text.
+
+Chunks. A text is read in chunks of ``chunk_chars``. A chunk's map takes every entry state to its exit
+state and count: after a white-space character that follows another character the state is the same
+whatever came before, so the map is the characters up to there (``head``), whose count depends on the
+entry state, and then one count and one exit state. A chunk without such a place is all head. Maps
+compose associatively and are combined by a prefix scan. Every text goes this way; one of a single
+chunk needs no composition.
+
+Edge cases: null text counts as empty (0 bytes, 0 tokens); the string of an added token in a text is
+one token and separates what stands around it, as the library has it; repeated rows give repeated
+rows; texts of any length are read whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,99 +45,219 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import tokenizer_path, tune
-from .tokens import UNIT, WHITE, UnitEncoder
+from .tokens import START, WHITE, byte_chars
 
 CHUNK_CHARS = 1 << 16
-START = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
+#: States kept by a worker (about 500 bytes each with their arcs); compiled anew beyond.
+MAX_STATES = 200_000
+BLANK = re.compile(f"[{WHITE}]")
+#: Fixed values of the pre-tokenizer: contractions after an apostrophe.
+CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
+
+Arc = tuple["State", int]
+
+
+class State(dict):
+    """Arcs by character: (next state, tokens emitted). ``last[i]``: length of the last token of the first i + 1 open bytes."""
+
+    __slots__ = ("machine", "kind", "open", "last")
+
+    def __init__(self, machine: Transducer, kind: str, open_: str, last: tuple[int, ...]):
+        super().__init__()
+        self.machine, self.kind, self.open, self.last = machine, kind, open_, last
+
+    def __missing__(self, c: str) -> Arc:
+        arc = self[c] = self.machine.arc(self, c)
+        return arc
+
+    def final(self) -> int:
+        """Tokens of the open end, if the text ends here."""
+        if self.kind == "?" and len(self.open) == 2:  # an apostrophe, then a letter
+            return 2
+        return self.machine.steps(self.last, len(self.last))
 
 
 @dataclass(frozen=True, slots=True)
-class StateMap:
+class ChunkMap:
     head: str
     count: int
-    tail: str | None
-
-
-EMPTY = StateMap("", 0, None)
+    exit: State | None
 
 
 class Transducer:
-    def __init__(self, path: str):
-        self.library = UnitEncoder(path)
-        self.arcs: dict[str, int] = {}
-        self.max_arcs = self.library.max_units
-
-    def emitted(self, text: str) -> int:
-        """Tokens of a text that starts at a unit start."""
-        units = UNIT.findall(text)
-        self.compile(units)
-        return sum(map(self.arcs.__getitem__, units))
-
-    def compile(self, units: list[str]) -> None:
-        if len(self.arcs) > self.max_arcs:
-            self.arcs.clear()
-        missing = set(units).difference(self.arcs)
-        if missing:
-            ids: dict[str, bytes] = {}
-            self.library._learn(missing, ids)
-            self.arcs.update((u, len(b) >> 2) for u, b in ids.items())
-
-    def chunk_map(self, chunk: str) -> StateMap:
-        if not chunk:
-            return EMPTY
-        first = START.search(chunk)
-        if not first:
-            return StateMap(chunk, 0, None)
-        a = first.start()
-        last = a
-        body = UNIT.findall(chunk, a)
-        last = len(chunk) - len(body[-1])
-        inside = body[:-1]
-        self.compile(inside)
-        return StateMap(chunk[:a], sum(map(self.arcs.__getitem__, inside)), chunk[last:])
-
-    def compose(self, a: StateMap, b: StateMap) -> StateMap:
+    def __init__(self, path: str, max_states: int = MAX_STATES):
+        from tokenizers import Tokenizer, models
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        kind = spec["pre_tokenizer"] or {}
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if spec["normalizer"] or any(kind.get(k) != v for k, v in plain.items()) or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
+            raise ValueError("only plain byte-level vocabularies are compiled")
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+        self.model = Tokenizer(models.BPE(spec["model"]["vocab"], merges, cache_capacity=0))
+        self.cut = Tokenizer.from_file(path).pre_tokenizer
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in sorted(spec["added_tokens"], key=lambda t: -len(t["content"]))) or "(?!)")
+        self.to_chars = byte_chars()
+        back = {c: b for b, c in self.to_chars.items()}
+        added = {t["content"] for t in spec["added_tokens"]}
+        self.size = {i: len(t) for t, i in spec["model"]["vocab"].items()}
+        self.tokens = sorted(bytes(back[c] for c in t) for t in spec["model"]["vocab"] if t not in added)
+        self.longest = max(map(len, self.tokens))
+        self.max_states = max_states
+        self.classes: dict[str, str] = {}
+        self.states: dict[tuple[str, str], State] = {}
+        self.built = 0
+
+    # Compiling
+
+    def class_of(self, c: str) -> str:
+        """L, N, O or W, as the library's pre-tokenizer has it."""
+        k = self.classes.get(c)
+        if k is None:
+            if BLANK.match(c):
+                k = "W"
+            else:
+                k = next((k for k, like in (("L", "a"), ("N", "1")) if len(self.cut.pre_tokenize_str(like + c)) == 1), "O")
+            self.classes[c] = k
+        return k
+
+    def last_token(self, raw: bytes) -> int:
+        return self.size[self.model.encode(raw.decode("latin-1").translate(self.to_chars), add_special_tokens=False).ids[-1]]
+
+    def extended(self, last: tuple[int, ...], raw: bytes) -> tuple[int, ...]:
+        """``last`` for ``raw``, of whose first bytes it is known."""
+        return (*last, *(self.last_token(raw[:i]) for i in range(len(last) + 1, len(raw) + 1)))
+
+    @staticmethod
+    def steps(last: tuple[int, ...], p: int) -> int:
+        """Tokens of the first ``p`` open bytes."""
+        n = 0
+        while p:
+            p -= last[p - 1]
+            n += 1
+        return n
+
+    def begins_token(self, raw: bytes) -> bool:
+        """Whether ``raw`` is a proper prefix of a token."""
+        i = bisect_right(self.tokens, raw)
+        return i < len(self.tokens) and self.tokens[i].startswith(raw)
+
+    def state(self, kind: str, open_: str, last: tuple[int, ...] = ()) -> State:
+        s = self.states.get((kind, open_))
+        if s is None:
+            if len(self.states) >= self.max_states:
+                self.states.clear()  # walks under way keep the states that they stand on
+            s = self.states[kind, open_] = State(self, kind, open_, self.extended(last, open_.encode("utf-8", "surrogatepass")))
+            self.built += 1
+        return s
+
+    def running(self, kind: str, text: str, last: tuple[int, ...]) -> Arc:
+        """The state of a run whose open end and next character are ``text``, and the tokens that are certain now."""
+        raw = text.encode("utf-8", "surrogatepass")
+        last = self.extended(last, raw)
+        n = len(raw)
+        # The last white-space character of a run may belong to what follows.
+        stop = n - len(text[-1].encode("utf-8", "surrogatepass")) if kind == "W" else n
+        starts = {n, stop, *(p for p in range(max(0, n - self.longest), n) if self.begins_token(raw[p:]))}
+        common: set[int] | None = None
+        for p in starts:
+            edges = set()
+            while p > 0:
+                edges.add(p)
+                p -= last[p - 1]
+            common = edges if common is None else common & edges
+        fixed = max((e for e in common if e <= stop and (e == n or raw[e] & 0xC0 != 0x80)), default=0)
+        if not fixed:
+            return self.state(kind, text, last), 0
+        return self.state(kind, raw[fixed:].decode("utf-8", "surrogatepass")), self.steps(last, fixed)
+
+    def arc(self, s: State, c: str) -> Arc:
+        kind, open_ = s.kind, s.open
+        k = self.class_of(c)
+        if kind == "":
+            if k == "W" or c == "'":
+                return self.state("?", c), 0
+            return self.running(k, c, ())
+        if kind == "?":
+            if open_ == "'":
+                if c in CONTRACTIONS:
+                    return self._closed(open_ + c, "")
+                if any(x[0] == c for x in CONTRACTIONS):
+                    return self.state("?", open_ + c), 0
+                return self.running(k, open_ + c, s.last) if k == "O" else self._closed(open_, c)
+            if open_[0] == "'":
+                if open_[1] + c in CONTRACTIONS:
+                    return self._closed(open_ + c, "")
+                return self._closed("'", open_[1] + c)
+            if k == "W" or open_ == " ":
+                return self.running(k, open_ + c, s.last)
+            return self._closed(open_, c)
+        if k == kind:
+            return self.running(k, open_ + c, s.last)
+        if kind == "W":
+            nxt, n = self.state("?", open_[-1])[c]
+            return nxt, n + self.steps(s.last, len(open_[:-1].encode("utf-8", "surrogatepass")))
+        nxt, n = self.state("", "")[c]
+        return nxt, n + self.steps(s.last, len(s.last))
+
+    def _closed(self, piece: str, rest: str) -> Arc:
+        """A pre-token ends; ``rest`` is read from the state between pre-tokens."""
+        raw = piece.encode("utf-8", "surrogatepass")
+        total, s = self.walk(self.state("", ""), rest)
+        return s, total + self.steps(self.extended((), raw), len(raw))
+
+    # Running
+
+    @staticmethod
+    def walk(s: State, text: str) -> tuple[int, State]:
+        """(tokens emitted, exit state)."""
+        total = 0
+        for c in text:
+            s, n = s[c]
+            total += n
+        return total, s
+
+    def chunk_map(self, chunk: str) -> ChunkMap:
+        found = START.search(chunk)
+        if not found:
+            return ChunkMap(chunk, 0, None)
+        count, leave = self.walk(self.state("?", found[0]), chunk[found.end() :])
+        return ChunkMap(chunk[: found.end()], count, leave)
+
+    def apply(self, m: ChunkMap, s: State) -> tuple[int, State]:
+        """(tokens, exit state) of a chunk that is entered in state ``s``."""
+        n, leave = self.walk(s, m.head)
+        return (n, leave) if m.exit is None else (n + m.count, m.exit)
+
+    def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
         """First ``a``, then ``b``."""
-        if a.tail is None:
-            if b.tail is None:
-                m = self._split(a.head + b.head)
-                return m
-            m = self._split(a.head + b.head)
-            if m.tail is None:
-                return StateMap(m.head, b.count, b.tail)
-            return StateMap(m.head, m.count + self.emitted(m.tail) + b.count, b.tail)
-        if b.tail is None:
-            m = UNIT.findall(a.tail + b.head)
-            return StateMap(a.head, a.count + sum(map(self.emitted, m[:-1])), m[-1])
-        return StateMap(a.head, a.count + self.emitted(a.tail + b.head) + b.count, b.tail)
-
-    def _split(self, text: str) -> StateMap:
-        """The map of a short text that may have a unit start where two chunks met."""
-        return self.chunk_map(text)
-
-    def finish(self, m: StateMap) -> int:
-        """The count of a whole text: its head starts at the text's start, its tail ends at its end."""
-        return self.emitted(m.head) + m.count + (self.emitted(m.tail) if m.tail else 0)
-
-    def scan(self, maps: list[StateMap]) -> StateMap:
-        """Reduce by pairs; the order of the maps stays, their grouping is free."""
+        if a.exit is None:
+            return ChunkMap(a.head + b.head, b.count, b.exit)
+        n, leave = self.apply(b, a.exit)
+        return ChunkMap(a.head, a.count + n, leave)
+
+    def scan(self, maps: list[ChunkMap]) -> ChunkMap:
+        """Combine by pairs; the order of the maps stays, their grouping is free."""
         while len(maps) > 1:
             paired = [self.compose(maps[i], maps[i + 1]) for i in range(0, len(maps) - 1, 2)]
             maps = paired + maps[len(maps) - len(maps) % 2 :]
-        return maps[0] if maps else EMPTY
+        return maps[0] if maps else ChunkMap("", 0, None)
+
+    def finish(self, m: ChunkMap) -> int:
+        n, s = self.apply(m, self.state("", ""))
+        return n + s.final()
 
     def count(self, text: str, chunk_chars: int = CHUNK_CHARS) -> int:
-        if any(a in text for a in self.library.added):
-            return len(self.library._whole(text)) >> 2
-        if len(text) <= chunk_chars:
-            return self.emitted(text)
-        return self.finish(self.scan([self.chunk_map(text[i : i + chunk_chars]) for i in range(0, len(text), chunk_chars)]))
+        parts = self.added.split(text)
+        return len(parts) - 1 + sum(self.finish(self.scan([self.chunk_map(p[i : i + chunk_chars]) for i in range(0, len(p), chunk_chars)])) for p in parts)
 
 
 _TRANSDUCERS: dict[str, Transducer] = {}
 
 
 def transducer(path: str) -> Transducer:
+    """One machine a worker process, kept between tasks."""
     if path not in _TRANSDUCERS:
         import os
 
@@ -140,28 +275,7 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
         machine = transducer(path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            small = [i for i, t in enumerate(texts) if len(t) <= chunk_chars and not any(a in t for a in machine.library.added)]
-            n = [0] * len(texts)
-            for lot in lots(texts, small, chunk_chars):
-                units = [UNIT.findall(texts[i]) for i in lot]
-                machine.compile([u for x in units for u in x])
-                for i, x in zip(lot, units):
-                    n[i] = sum(map(machine.arcs.__getitem__, x))
-            for i in set(range(len(texts))).difference(small):
-                n[i] = machine.count(texts[i], chunk_chars)
+            n = [machine.count(t, chunk_chars) for t in texts]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()), "n_tokens": pa.array(n, pa.int64()), "over_limit": pa.array([x > limit for x in n])})
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
-
-
-def lots(texts: list[str], which: list[int], chars: int) -> Iterator[list[int]]:
-    """Texts that are compiled together: about ``chars`` characters at once."""
-    lot, size = [], 0
-    for i in which:
-        lot.append(i)
-        size += len(texts[i])
-        if size >= chars:
-            yield lot
-            lot, size = [], 0
-    if lot:
-        yield lot
