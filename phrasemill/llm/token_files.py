@@ -91,32 +91,31 @@ def write_token_files(
 
         enc = encoder(path)
         dtype = np.uint16 if len(enc.edge) <= 1 << 16 and end_id < 1 << 16 else np.uint32
-        end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         fs, root = _open_fs(directory)
         fs.create_dir(root, recursive=True)
         writer = sink = None
-        doc_ids: list[int | None] = []
-        sizes: list[int] = []
+        doc_ids: list[pa.Array] = []
+        counts: list[np.ndarray] = []
         for batch in batches:
             if writer is None:
                 sink = fs.open_output_stream(f"{root}/{name}.arrow")
                 writer = SequenceWriter(sink, dtype, seq_len)
-            doc_ids += batch.column(0).to_pylist()
-            for ids in enc.encode([t or "" for t in batch.column(1).to_pylist()]):
-                flat = np.frombuffer(ids + end, "<u4")
-                sizes.append(len(flat))
-                writer.add(flat.astype(dtype))
+            doc_ids.append(batch.column(0))
+            ids, at = enc.encode_column(batch.column(1), end_id)
+            counts.append(np.diff(at))
+            writer.add(ids.astype(dtype))
         if writer is None:
             return
         writer.close()
         sink.close()
-        starts = [0, *accumulate(sizes)][:-1]
-        index = pa.RecordBatch.from_pydict({"doc_id": pa.array(doc_ids, pa.int64()), "start": pa.array(starts, pa.int64()), "n_tokens": pa.array(sizes, pa.int64())})
+        sizes = np.concatenate(counts)
+        total = int(sizes.sum())
+        index = pa.RecordBatch.from_pydict({"doc_id": pa.concat_arrays(doc_ids), "start": pa.array(np.cumsum(sizes) - sizes), "n_tokens": pa.array(sizes)})
         with fs.open_output_stream(f"{root}/{name}.index.arrow") as f, pa.ipc.new_file(f, index.schema) as w:
             w.write_batch(index)
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "docs": pa.array([len(sizes)], pa.int64()), "tokens": pa.array([sum(sizes)], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "docs": pa.array([len(sizes)], pa.int64()), "tokens": pa.array([total], pa.int64())})
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", split_text_key(F.col("text")).alias("_k"))
