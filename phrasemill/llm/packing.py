@@ -7,12 +7,15 @@ exceed the bound, the fullest closes first.
 
 Each task packs the pieces of its own input partition: nothing is shuffled, a lost task is
 redone from its input alone, and the price is at most one part-filled sequence or so a task.
-Pieces arrive in blocks, largest first within a block, which fills sequences better than arrival
-order. A block ends before it can open more sequences than may stay open (best-fit leaves at most
-one of them half empty, so half their room in tokens is the limit), else its large pieces would
-close sequences that its small ones still fit; ``BLOCK`` pieces bound the memory besides.
-
-Edge cases: null text is empty and is one piece (the end id alone); a document of exactly
+The packer itself is online: a piece is placed for good when it comes. Before it stands a bounded
+look-ahead: pieces wait in blocks and come largest first, which fills sequences better than arrival
+order (README has figures for both). A block ends before it can open more sequences than may stay
+open (best-fit leaves at most one of them half empty, so half their room in tokens is the limit),
+else its large pieces would close sequences that its small ones still fit; ``BLOCK`` pieces bound
+the memory besides.
+
+Edge cases: of equal free spaces the sequence that got it last is filled; texts of any length are
+encoded whole, in slices; null text is empty and is one piece (the end id alone); a document of exactly
 ``max_tokens`` ids is one piece; repeated rows and repeated or null doc_ids are packed as the
 separate rows they are; an empty table gives no rows; columns beyond doc_id and text are ignored.
 """
@@ -121,9 +124,8 @@ def pack(
         from .tokens import encoder
 
         enc = encoder(path)
-        block = Blocks(BestFit(max_tokens, open_bins), BLOCK if not with_ids else BLOCK // 20)
+        block = Blocks(BestFit(max_tokens, open_bins))
         base = TaskContext.get().partitionId() << 40
-        end = np.array([end_id], "<u4").tobytes()
 
         def flush() -> pa.RecordBatch:
             held, places = block.flush()
@@ -137,12 +139,12 @@ def pack(
             return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc_id, ids in zip(doc_ids, enc.encode([t or "" for t in texts])):
-                ids += end
-                for k, (s, n) in enumerate(pieces(len(ids) // 4, max_tokens)):
-                    part = ids[4 * s : 4 * (s + n)]
-                    if block.add((doc_id, k, s, n, zlib.crc32(part), part if with_ids else None)):
+            ids, at = enc.encode_column(batch.column(1), end_id)
+            raw, at = memoryview(ids.astype("<u4", copy=False).tobytes()), at.tolist()
+            for doc_id, first, last in zip(batch.column(0).to_pylist(), at, at[1:]):
+                for k, (s, n) in enumerate(pieces(last - first, max_tokens)):
+                    part = raw[4 * (first + s) : 4 * (first + s + n)]
+                    if block.add((doc_id, k, s, n, zlib.crc32(part), bytes(part) if with_ids else None)):
                         yield flush()
         if block.held:
             yield flush()
