@@ -4,9 +4,10 @@ Base kinds are found wherever they stand. A credential often comes in parts, tho
 identifier here, a secret there, an endpoint beside them. Parts that are too common to report
 alone (a 40-character base64 string, an endpoint) are weak candidates, found on the whole text of a
 document that has an identifier. Each access identifier opens a scope of ``scope`` characters on
-either side; weak parts are joined to the scopes that they overlap by a sweep over sorted
-intervals, with their full spans, and reported only when complementary parts co-occur: a weak secret needs an identifier in its scope, an endpoint needs an identifier and
-a secret. The sweep is linear after sorting: overlapping scopes are one scope, never pairs.
+either side. Weak parts are joined to scopes by overlap, with their full spans, and reported only when
+complementary parts share one scope: a weak secret needs an identifier, an endpoint needs an identifier
+and a secret (weak or base) that overlap the same identifier's scope as it does. The interval join asks
+sorted intervals with a running maximum of their ends, so it is O(n log n) and makes no pairs.
 
 Edge cases: null text is empty and has no spans; texts of any length are scanned whole; ties in
 start are ordered by kind as listed in ``KINDS``; repeated rows give repeated rows; an empty
@@ -17,8 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,61 +53,32 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
-def scopes(spans: list[Span], width: int) -> list[tuple[int, int]]:
-    """The union of the identifiers' scopes, as disjoint intervals in order."""
-    out: list[tuple[int, int]] = []
-    for s, kind, e in spans:
-        if kind == 1:
-            a, b = max(0, s - width), e + width
-            if out and a <= out[-1][1]:
-                out[-1] = (out[-1][0], max(out[-1][1], b))
-            else:
-                out.append((a, b))
-    return out
+class Intervals:
+    """A set of [start, end) intervals that is asked whether any overlaps a given one."""
 
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts = [s for s, _ in spans]
+        self.tops = list(accumulate((e for _, e in spans), max))
 
-def linked_spans(text: str, base: list[Span], width: int = SCOPE) -> list[Span]:
-    """Weak parts that a scope completes."""
-    found: list[Span] = []
-    base = sorted(base)
-    taken = [(s, e) for s, _, e in base]
-    starts = [s for s, _ in taken]
-    around = scopes(base, width)
-    if not around:
-        return found
-    secret = [m.span() for m in WEAK_SECRET.finditer(text) if not _covered(taken, starts, *m.span())]
-    endpoint = [m.span() for m in ENDPOINT.finditer(text)]
-    weak_in, ends_in = within(around, secret), within(around, endpoint)
-    for (a, b), weak, ends in zip(around, weak_in, ends_in):
-        near = base[bisect_left(starts, a) : bisect_right(starts, b)]
-        found += [(s, 3, e) for s, e in weak]
-        if weak or any(kind in (0, 2) for _, kind, _ in near):
-            found += [(s, 4, e) for s, e in ends]
-    # A part that reaches into two scopes is one part.
-    return sorted(set(found))
-
-
-def within(around: list[tuple[int, int]], spans: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """For each scope the spans that overlap it; both are disjoint and in order."""
-    out: list[list[tuple[int, int]]] = []
-    i = 0
-    for a, b in around:
-        while i < len(spans) and spans[i][1] <= a:
-            i += 1
-        j = i
-        while j < len(spans) and spans[j][0] < b:
-            j += 1
-        out.append(spans[i:j])
-    return out
+    def hit(self, s: int, e: int) -> bool:
+        i = bisect_left(self.starts, e)
+        return i > 0 and self.tops[i - 1] > s
 
 
-def _covered(taken: list[tuple[int, int]], starts: list[int], s: int, e: int) -> bool:
-    """Whether a base span overlaps [s, e): base spans of one text overlap little, so a few neighbours are enough to see."""
-    i = bisect_left(starts, e) - 1
-    for j in range(i, max(-1, i - 4), -1):
-        if taken[j][1] > s:
-            return True
-    return False
+def linked_spans(text: str, base: list[Span], width: int = SCOPE) -> list[Span]:
+    """Weak parts that parts of the same scope complete."""
+    around = [(max(0, s - width), e + width) for s, kind, e in base if kind == 1]
+    if not around:
+        return []
+    taken = Intervals([(s, e) for s, _, e in base])
+    scopes = Intervals(around)
+    weak = [m.span() for m in WEAK_SECRET.finditer(text)]
+    weak = [w for w in weak if scopes.hit(*w) and not taken.hit(*w)]
+    secret = Intervals([*weak, *((s, e) for s, kind, e in base if kind in (0, 2))])
+    whole = Intervals([scope for scope in around if secret.hit(*scope)])
+    ends = [m.span() for m in ENDPOINT.finditer(text)] if whole.starts else []
+    return [(s, 3, e) for s, e in weak] + [(s, 4, e) for s, e in ends if whole.hit(s, e)]
 
 
 def find(text: str, width: int = SCOPE) -> tuple[list[Span], list[Span]]:
