@@ -7,7 +7,7 @@ with the current weights and sums gradients a bucket. The labelled table is boun
 ``MAX_TRAINING`` rows and weights by ``BUCKETS``, so what reaches the driver has a fixed size.
 
 Edge cases: null urls and urls without ``://`` have empty host and path, match no rule and are
-judged by the intercept alone; repeated rows stay; an empty table gives no rows; other columns
+judged by the intercept alone; urls of any length are read whole; repeated rows stay; an empty table gives no rows; other columns
 are ignored.
 """
 
@@ -32,27 +32,34 @@ RATE = 8.0
 DECAY = 1e-3
 MAX_TRAINING = 10_000
 
-#: A small labelled table. Names are dealt over the same ends, subdomains and paths, so only names tell good from bad.
-GOOD_NAMES = (
-    "news", "library", "docs", "garden", "recipes", "history", "science", "school", "weather", "museum", "theatre", "thinking",
-    "nation", "station", "other", "leather", "northern", "mountain", "river", "attention", "question", "english", "rhythm", "within",
+#: Words of a small labelled table, from common knowledge of what sites and blocklists are called.
+GOOD_WORDS = (
+    "news", "library", "docs", "garden", "recipes", "history", "science", "school", "weather", "museum", "theatre", "travel", "music", "maps", "sport",
+    "books", "health", "city", "park", "art", "study", "open", "film", "data", "wiki", "forum", "code", "press", "university", "hospital",
 )
-BAD_NAMES = (
-    "cheap-pills", "spam-farm", "casino-bonus", "free-download", "adult-video", "win-prize",
-    "ads-click", "replica-watch", "loan-fast", "xxx-cam", "bets-online", "track-popup",
+BAD_WORDS = (
+    "casino", "poker", "bets", "lottery", "prize", "porn", "adult", "escort", "pills", "viagra",
+    "cheap", "replica", "loan", "payday", "spam", "phish", "malware", "warez", "tracker", "popup",
 )
 ENDS = ("example.com", "example.net", "example.org")
 SUBDOMAINS = ("", "www.", "m.", "blog.")
 PATHS = ("/en/12", "/de/345.html", "/fr/56/", "/es/789", "/en/archive/2020/78", "")
 
 
-def training_table(spark: SparkSession) -> DataFrame:
+def labelled(step: int, joint: str) -> list[tuple[str, int]]:
+    """(url, bad): each word joined with the one ``step`` places on. Ends, subdomains and paths are dealt alike to good and bad."""
     rows = []
-    for bad, names in enumerate((GOOD_NAMES, BAD_NAMES)):
-        for i, name in enumerate(names):
-            for j, end in enumerate(ENDS):
-                rows.append((f"https://{SUBDOMAINS[(i + j) % 4]}{name}.{end}{PATHS[(i + 2 * j) % 6]}", bad))
-    return spark.createDataFrame(rows, "url string, bad int")
+    for bad, words in enumerate((GOOD_WORDS, BAD_WORDS)):
+        for i, word in enumerate(words):
+            name = word + joint + words[(i + step) % len(words)]
+            rows += [(f"https://{SUBDOMAINS[(i + j) % 4]}{name}.{end}{PATHS[(i + 2 * j) % 6]}", bad) for j, end in enumerate(ENDS)]
+    return rows
+
+
+def training_table(spark: SparkSession) -> DataFrame:
+    """url, bad: 300 rows of names with and without a hyphen. Other steps are held out for measuring."""
+    rows = labelled(1, "-") + labelled(2, "")
+    return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{u}', {bad})" for u, bad in rows) + " AS t(url, bad)")
 
 
 def parts(url: Column) -> tuple[Column, Column]:
