@@ -47,10 +47,26 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Folders of intermediate tables that this process has made, oldest first.
+MADE: list[str] = []
+
+
+def discard(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Delete the intermediate tables made since ``MADE`` had ``since`` entries, but for the last ``keep``.
+
+    Only for tables that no DataFrame reads any more.
+    """
+    for path in MADE[since : len(MADE) - keep]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    del MADE[since : len(MADE) - keep]
+
+
 def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """``df`` written to the shared folder and read again: a lineage cut that survives lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
+    MADE.append(path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,11 +5,14 @@ documents link when their fingerprints differ in at most ``radius`` bits; groups
 connected components.
 
 Search. By the pigeonhole principle, fingerprints within radius r share one of r+1 bit blocks.
-Distinct fingerprints are dealt into shards by (block, value of the block); each shard is a
+Distinct fingerprints are dealt into shards by (block, value of the block). Shards of more than
+``MAX_SHARD`` are dealt again by blocks of their other bits, and once more: after ``LEVELS`` dealings at most
+20 bits are free for radius 2, so no shard has more than 2^20 members, whatever the data. Each shard is a
 BK-tree whose children are keyed by their integer Hamming distance to the parent, and a query
 follows only the edges within the radius of its own distance. Trees of all shards of a task are
 built and searched together, level by level, in numpy. A shard's trees reach the tasks by
-shuffle rather than by broadcast, because the set of all fingerprints has no size bound.
+shuffle rather than by broadcast, because the set of all fingerprints has no size bound, and because a tree of
+all of them would be followed along far more edges (README has figures).
 A fingerprint has at most 2,080 others within two bits, so links are linear in fingerprints, and a
 task hands on a spanning forest of each shard, not its pairs.
 
@@ -19,7 +22,7 @@ round's labels are written to the shared folder, which cuts the lineage.
 Edge cases: null or wordless text has fingerprint 0 and links like any other; null doc_ids get
 the component of their fingerprint and never name one (null if no document of the component has
 an id); repeated rows stay; an empty table gives no rows; other columns are ignored by ``groups``
-and kept by ``keep_one``.
+and kept by ``keep_one``; texts of any length are hashed whole.
 """
 
 from __future__ import annotations
@@ -31,11 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shielded, split_text_key, stored, tune
+from .common import MADE, discard, shielded, split_text_key, stored, tune
 
 SHINGLE = 3
 RADIUS = 2
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Members of a shard beyond which it is dealt again, and how often that is done.
+MAX_SHARD = 20_000
+LEVELS = 3
 #: Pairs of (query, node) that a search holds at once.
 FRONTIER = 1 << 21
 
@@ -159,12 +165,42 @@ class Forest:
             np.minimum.at(self.up, np.maximum(a, b), np.minimum(a, b))
 
 
-def shard_edges(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+def _mask(bits: list[int]) -> int:
+    m = sum(1 << b for b in bits)
+    return m - (1 << 64) if m >> 63 else m
+
+
+def dealt(fps: DataFrame, radius: int = RADIUS, max_shard: int = MAX_SHARD) -> DataFrame:
+    """path, v, fp: every fingerprint once a shard (path, v). Two within the radius share a shard.
+
+    ``path`` names the blocks that were dealt by, ``v`` the fingerprint's bits in them.
+    """
+    free = {"": list(range(64))}
+    rows, done = fps.select(F.lit("").alias("path"), "fp"), None
+    for level in range(LEVELS):
+        shares, left = {}, {}
+        for path, bits in free.items():
+            cuts = [len(bits) * i // (radius + 1) for i in range(radius + 2)]
+            for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+                left[f"{path}{i}"] = bits[:lo] + bits[hi:]
+                used = [b for b in range(64) if b not in left[f"{path}{i}"]]
+                shares.setdefault(path, []).append(F.struct(F.lit(f"{path}{i}").alias("path"), F.col("fp").bitwiseAND(F.lit(_mask(used))).alias("v")))
+        options = [F.when(F.col("path") == path, F.array(*s)) for path, s in shares.items()]
+        rows, free = rows.select("fp", F.explode(F.coalesce(*options)).alias("s")).select("s.path", "s.v", "fp"), left
+        if level == LEVELS - 1:
+            break
+        hot = stored(rows.groupBy("path", "v").count().where(F.col("count") > max_shard).select("path", "v"), "simhash-hot")
+        if hot.isEmpty():
+            break
+        cold = rows.join(hot, ["path", "v"], "left_anti")
+        done = cold if done is None else done.unionByName(cold)
+        rows = rows.join(hot, ["path", "v"], "left_semi")
+    return rows if done is None else done.unionByName(rows)
+
+
+def shard_edges(fps: DataFrame, radius: int = RADIUS, max_shard: int = MAX_SHARD) -> DataFrame:
     """A spanning forest (a, b) of every shard's links, over the distinct fingerprints ``fps`` (column fp)."""
-    widths = [64 // (radius + 1) + (i < 64 % (radius + 1)) for i in range(radius + 1)]
-    lows = [sum(widths[:i]) for i in range(radius + 1)]
-    blocks = [F.struct(F.lit(i).alias("b"), F.shiftrightunsigned("fp", lo).bitwiseAND((1 << w) - 1).alias("v")) for i, (lo, w) in enumerate(zip(lows, widths))]
-    dealt = fps.select("fp", F.explode(F.array(*blocks)).alias("s")).select("s.b", "s.v", "fp").repartition("b", "v").sortWithinPartitions("b", "v", "fp")
+    ordered = dealt(fps, radius, max_shard).select(F.xxhash64("path", "v").alias("shard"), "fp").repartition("shard").sortWithinPartitions("shard", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -184,8 +220,8 @@ def shard_edges(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
         kept = 0
         for batch in batches:
-            b, v, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            held.append((b.astype(np.int64) << 32 | v.astype(np.int64), fp.astype(np.int64).view(np.uint64)))
+            no, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            held.append((no, fp.view(np.uint64)))
             kept += len(fp)
             if kept >= 200_000:  # whole shards only: the last one may go on
                 shard, values = (np.concatenate(x) for x in zip(*held))
@@ -200,7 +236,7 @@ def shard_edges(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
             if len(shard) and (out := search(shard, values)) is not None:
                 yield out
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -212,11 +248,13 @@ def components(edges: DataFrame) -> DataFrame:
     both = stored(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "simhash-edges")
     labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("fp"), "label"), "simhash-labels")
     while True:
+        before = len(MADE) - 1
         near = both.join(labels.withColumnRenamed("fp", "b"), "b").groupBy(F.col("a").alias("fp")).agg(F.min("label").alias("near"))
         step = labels.join(near, "fp").select("fp", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("fp").alias("next"), F.col("label").alias("far"))
         done = stored(step.join(jump, "next").select("fp", "label", F.least("next", "far").alias("next")), "simhash-labels")
         changed = not done.where("next <> label").isEmpty()
+        discard(done.sparkSession, before, keep=1)  # the labels before
         labels = done.select("fp", F.col("next").alias("label"))
         if not changed:
             return labels.withColumnRenamed("label", "root")
