@@ -12,7 +12,7 @@ document windows are joined with benchmark windows by an ordinary shuffled join
 
 Edge cases: null text and text without words have no words and no hits; items without words
 have no windows; repeated items with the same id count once; null item_ids have no name, so they
-hit but aren't listed; every input row gives its own output row, repeated or not; an empty benchmark hits
+hit but aren't listed; texts of any length are scanned whole; every input row gives its own output row, repeated or not; an empty benchmark hits
 nothing; an empty table gives no rows; ``clean`` keeps all columns of its input, ``report`` none
 but doc_id.
 """
