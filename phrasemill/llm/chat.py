@@ -66,36 +66,38 @@ class Formatter:
     def unescape(self, text: str) -> str:
         return self.escaped.sub(lambda m: m[1] or "", text)
 
-    def check(self, roles: list[str]) -> int | None:
-        """Place of the first turn that the machine refuses (the number of turns, if it may not end there), else None."""
-        state = ""
-        for i, role in enumerate(roles):
-            if role not in self.t.follows.get(state, ()):
-                return i
-            state = role
-        return None if state in self.t.final else len(roles)
-
-    def segments(self, turns: list[tuple[str, str]]) -> Iterator[tuple[str, bool]]:
-        """(text, loss) pieces whose concatenation is the formatted conversation."""
-        yield self.t.start, False
-        for role, text in turns:
-            mark = self.t.turns.get(role)
-            if mark is None:
-                mark = Turn(self.t.other[0] + self.escape(role) + self.t.other[1], self.t.other[2])
+    def step(self, state: str, role: str) -> tuple[str, bool, Turn]:
+        """The machine's arc for a turn of ``role``: next state, whether the template allows it, how the turn is written."""
+        mark = self.t.turns.get(role)
+        if mark is None:
+            mark = Turn(self.t.other[0] + self.escape(role) + self.t.other[1], self.t.other[2])
+        return role, role in self.t.follows.get(state, ()), mark
+
+    def run(self, turns: list[tuple[str, str]]) -> tuple[list[tuple[str, bool]], int | None]:
+        """(text, loss) segments whose concatenation is the formatted conversation, and the place of the first turn that
+        the machine refuses (the number of turns, if it may not end there), else None."""
+        out, state, bad = [(self.t.start, False)], "", None
+        for i, (role, text) in enumerate(turns):
+            state, allowed, mark = self.step(state, role)
+            if not allowed and bad is None:
+                bad = i
             if mark.before:
-                yield mark.before, False
-            yield self.escape(text), mark.loss
-            yield mark.after, False
-
-    def format(self, turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
-        """The formatted text and its loss spans in code points, one for each loss segment (empty ones too)."""
-        out, spans, at = [], [], 0
-        for text, loss in self.segments(turns):
-            out.append(text)
+                out.append((mark.before, False))
+            out += [(self.escape(text), mark.loss), (mark.after, False)]
+        return out, len(turns) if bad is None and state not in self.t.final else bad
+
+    def check(self, roles: list[str]) -> int | None:
+        return self.run([(r, "") for r in roles])[1]
+
+    def format(self, turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]], int | None]:
+        """The formatted text, its loss spans in code points, one for each loss segment (empty ones too), and the first bad turn."""
+        segments, bad = self.run(turns)
+        spans, at = [], 0
+        for text, loss in segments:
             if loss:
                 spans.append((at, at + len(text)))
             at += len(text)
-        return "".join(out), spans
+        return "".join(text for text, _ in segments), spans, bad
 
     def read_back(self, formatted: str) -> list[tuple[str, str]]:
         """The (role, text) turns of a formatted conversation."""
@@ -147,10 +149,10 @@ def format_chats(conversations: DataFrame, template: Template | None = None) ->
             texts, spans, bad = [], [], []
             for ts in batch.column(1).to_pylist():
                 pairs = [(t["role"], t["text"]) for t in ts]
-                text, loss = f.format(pairs)
+                text, loss, wrong = f.format(pairs)
                 texts.append(text)
                 spans.append([{"start": a, "end": b} for a, b in loss])
-                bad.append(f.check([r for r, _ in pairs]))
+                bad.append(wrong)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(spans, kind), pa.array([b is None for b in bad]), pa.array(bad, pa.int32())], ["conv_id", "formatted", "loss_spans", "valid", "bad_turn"])
 
     return turns.mapInArrow(run, FORMAT_SCHEMA)
@@ -188,11 +190,17 @@ e AS (
     '<</SYS>>', '<\</SYS>>'), '<<SYS>>', '<\<SYS>>'), '[/INST]', '[\/INST]'), '[/ROLE]', '[\/ROLE]'),
     '[INST]', '[\INST]'), '[ROLE]', '[\ROLE]'), '[END]', '[\END]'), '</s>', '<\/s>'), '<s>', '<\s>') AS x FROM c),
 m AS (
-  SELECT *, CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 15 WHEN 'assistant' THEN 4 ELSE 18 + length(role) END + length(x) AS n FROM e)
+  SELECT *, CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 15 WHEN 'assistant' THEN 4 ELSE 18 + length(role) END + length(x) AS n,
+    row_number() OVER o - 1 AS i, lag(role, 1, '') OVER o AS state FROM e WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+f AS (SELECT *, coalesce(role = 'assistant' AND state = 'user' OR role = 'user' AND state IN ('', 'system', 'assistant') AND (i = 0 OR state <> '')
+    OR role = 'system' AND i = 0, false) AS ok FROM m),
+g AS (
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(3 + sum(n) AS BIGINT) AS formatted_chars
-FROM m GROUP BY conv_id
+  CAST(3 + sum(n) AS BIGINT) AS formatted_chars,
+  coalesce(min(i) FILTER (NOT ok), CASE WHEN arg_max(role, i) IN ('user', 'assistant') THEN NULL ELSE count(*) END) AS bad
+FROM f GROUP BY conv_id)
+SELECT * EXCLUDE (bad), bad IS NULL AS valid, CAST(bad AS INTEGER) AS bad_turn FROM g
 """
