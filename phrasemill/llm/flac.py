@@ -452,26 +452,35 @@ def frame_spots(number: int, stream: bytes) -> tuple[list[tuple[int, int, int]],
     return [(number, a, b) for a, b in zip(edges, edges[1:])], [p[0] for p in points]
 
 
-def decode(streams: list[bytes]) -> list[bytes]:
-    """The samples of each stream, with every checksum verified."""
-    spots, owner = [], []
+def decode_blocks(streams: list[bytes]) -> list[list[tuple[int, np.ndarray]]]:
+    """The PCM blocks (sample offset, unsigned samples) of each stream, with every checksum verified."""
+    spots, owner, place = [], [], []
     for i, s in enumerate(streams):
-        own, _ = frame_spots(i, s)
+        own, offsets = frame_spots(i, s)
         spots += own
+        place += offsets
         owner += [i] * len(own)
-    parts: list[list[np.ndarray]] = [[] for _ in streams]
-    for i, x in zip(owner, decode_frames(streams, spots)):
-        parts[i].append(x)
-    out = []
-    for s, p in zip(streams, parts):
+    out: list[list[tuple[int, np.ndarray]]] = [[] for _ in streams]
+    for i, at, x in zip(owner, place, decode_frames(streams, spots)):
+        out[i].append((at, x))
+    for s, blocks in zip(streams, out):
         total, md5, _, _ = parse(s)
-        x = np.concatenate(p) if p else np.zeros(0, np.uint8)
-        if len(x) != total or hashlib.md5((x ^ 0x80).tobytes()).digest() != md5:
+        signed, at = hashlib.md5(), 0
+        for offset, x in blocks:
+            if offset != at:
+                raise FlacError("a frame's length and the seek table differ")
+            signed.update((x ^ 0x80).tobytes())
+            at += len(x)
+        if at != total or signed.digest() != md5:
             raise FlacError("the MD5 of the samples differs")
-        out.append(x.tobytes())
     return out
 
 
+def decode(streams: list[bytes]) -> list[bytes]:
+    """The samples of each stream."""
+    return [b"".join(x.tobytes() for _, x in blocks) for blocks in decode_blocks(streams)]
+
+
 def features(payload: bytes) -> str:
     """Audio features of the samples: mean and mean square, zero crossings, peak."""
     raw = np.frombuffer(payload, np.uint8)
@@ -519,15 +528,16 @@ def to_media(docs: DataFrame, unit: int = UNIT) -> DataFrame:
 
 
 def digest(media: DataFrame, unit: int = UNIT) -> DataFrame:
-    """Decode each stored stream and describe what came back."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    """Decode each stored stream to PCM blocks and describe what came back; ``block_offsets`` lists each block's first sample."""
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, block_offsets array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             streams = batch.column(2).to_pylist()
             for g in groups([len(s) for s in streams]):
                 own = [streams[i] for i in g]
-                back = decode(own)
+                blocks = decode_blocks(own)
+                back = [b"".join(x.tobytes() for _, x in b) for b in blocks]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(g.start, len(g)),
@@ -538,6 +548,7 @@ def digest(media: DataFrame, unit: int = UNIT) -> DataFrame:
                         "media_bytes": pa.array([len(s) for s in own], pa.int64()),
                         "media_sha256": [hashlib.sha256(s).hexdigest() for s in own],
                         "feature": [features(p) for p in back],
+                        "block_offsets": pa.array([[at for at, _ in b] for b in blocks], pa.list_(pa.int64())),
                     }
                 )
 
