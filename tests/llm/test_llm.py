@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from phrasemill.llm import chat, decontaminate, flac, minhash, packing, quality, secrets, simhash, token_counts, token_files, tokens, urls
 from phrasemill.llm.common import tokenizer_path
@@ -68,10 +69,28 @@ def test_chunk_maps_compose(text, width):
     want = len(lib.encode(text, add_special_tokens=False).ids)
     assert m.count(text, width) == want
     maps = [m.chunk_map(text[i : i + width]) for i in range(0, len(text), width)]
-    left = token_counts.EMPTY
+    left = token_counts.ChunkMap("", 0, None)
     for x in maps:
         left = m.compose(left, x)
-    assert m.finish(left) == want == m.finish(m.scan(maps))
+    if "<|endoftext|>" not in text:
+        assert m.finish(left) == want == m.finish(m.scan(maps))
+    # A map holds for every entry state, not only for the text's start.
+    for i, x in zip(range(0, len(text), width), maps):
+        for before in ("a", "it's", "  ", " 12", "\n'", "xx日"):
+            _, s = m.walk(m.state("", ""), before)
+            assert m.apply(x, s) == m.walk(s, text[i : i + width])
+
+
+def test_transducer_on_runs_and_small_tables():
+    lib, path = library("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.json")
+    m = token_counts.Transducer(path, max_states=50)  # compiled anew over and over
+    for unit in ("x", " ", "=", "\n", "ab", "日本語のテキスト。", "- ", "A", ".", "0", "e\u0301", "don't we'll 've ", "😀"):
+        for n in (1, 2, 3, 50, 700):
+            assert m.count(unit * n, 97) == len(lib.encode(unit * n, add_special_tokens=False).ids), (unit, n)
+    longest = max(len(k[1].encode()) for k in m.states)
+    assert longest <= 3 * m.longest
+    with pytest.raises(ValueError):
+        token_counts.Transducer(tokenizer_path("word_bpe_49k.json"))
 
 
 def test_best_fit_places_without_overlap():
@@ -218,6 +237,32 @@ def test_simhash_links_cross_shards(spark):
     assert len({r.root for r in roots}) == 1 and len(roots) == len(chain)
 
 
+def test_hot_shards_are_dealt_again(spark):
+    """Thousands of fingerprints that agree in whole blocks: shards stay small and no link is lost."""
+    rng = np.random.default_rng(4)
+    bits = lambda n, lo, hi: np.array([sum(1 << int(b) for b in rng.choice(np.arange(lo, hi), n, replace=False)) for _ in range(150)], np.uint64)
+    values = np.unique(np.concatenate([bits(4, 44, 64), bits(3, 22, 64), bits(2, 0, 64), bits(1, 0, 64), rng.integers(0, 1 << 63, 50, dtype=np.uint64), [np.uint64(0), ~np.uint64(0)]]))
+    fps = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    shards = simhash.dealt(fps, max_shard=40).groupBy("path", "v").count().collect()
+    assert max(len(r.path) for r in shards) == 3 and max(r["count"] for r in shards if len(r.path) < 3) <= 40
+    roots = {r.fp: r.root for r in simhash.components(simhash.shard_edges(fps, max_shard=40)).collect()}
+    label = {int(v): int(v) for v in values}
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(values):
+            near = values[np.bitwise_count(values ^ a) <= 2]
+            least = min(label[int(x)] for x in near)
+            for x in near:
+                if label[int(x)] != least:
+                    label[int(x)], changed = least, True
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    found: dict = {}
+    for v in values:
+        found.setdefault(roots.get(signed(int(v)), signed(int(v))), set()).add(label[int(v)])
+    assert all(len(x) == 1 for x in found.values()) and len(found) == len(set(label.values()))
+
+
 def test_near_dedup_stage_finds_near_copies(spark):
     """Of pairs at Jaccard 0.8 or more one stays, pairs below both stay; exact against all pairs."""
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -336,6 +381,76 @@ def test_quality_works_on_small_tables(spark):
         assert len(got & bad) <= len(bad) // 4 and len(got - bad) >= 0.9 * (n_docs - len(bad))
 
 
+def slow_weights(rows, good_of, shrink, buckets):
+    """Log weights by plain counting: rows (doc_id, text), one weight each."""
+    grams = []
+    for _, text in rows:
+        words = [w for piece in (text or "").replace("\n", " ").split(" ") for w in re.findall(r"[^\W_]+|[^\w\s]+|_+", piece.lower())]
+        h = [zlib.crc32(w.encode()) for w in words]
+        pairs = [((a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) % 2**64 >> 32) % buckets for a, b in zip(h, h[1:])]
+        grams.append(Counter([(x * 0x9E3779B1 >> 8) % buckets for x in h] + pairs))
+    good = [good_of.get(i) == 1 for i, _ in rows]
+    share = sum(good) / len(rows)
+    few = [Counter({b: min(c, 3) for b, c in g.items()}) for g in grams]
+    total = lambda gs, only: sum((g for g, x in zip(gs, good) if x or not only), Counter())
+    raw, target, raw_all, target_all = total(few, False), total(few, True), total(grams, False), total(grams, True)
+    out = []
+    for g, f, x in zip(grams, few, good):
+        a = m = 0.0
+        for b in g:
+            t, r = target[b] - (f[b] if x else 0), raw[b]
+            e = share * (r - 1)
+            if r > 1:
+                z2 = (t - e) ** 2 / max(e * (1 - share), 1e-9)
+                a += f[b] * math.log((t + 0.5) / (e + 0.5)) * max(0.0, 1 - shrink**2 / max(z2, 1e-9))
+            m += g[b] * math.log((target_all[b] - (g[b] if x else 0) + 1) / (share * (raw_all[b] - 1) + 1))
+        out.append(a + 10 * m / max(1, g.total()))
+    return out
+
+
+def quality_rows(n=150):
+    rng, rows, labels = np.random.default_rng(11), [], []
+    words = [f"w{i}" for i in range(60)]
+    for i in range(n):
+        w = [str(x) for x in rng.choice(words, 30)] + (["awful", "awful,", "junk_word"] if i % 3 == 0 else [])
+        rows.append((i, "\n".join(w) if i % 7 == 0 else " ".join(w + w[:1] * 40 if i % 10 == 0 else w)))
+        if i % 2:
+            labels.append((i, int(i % 3 > 0), int(i % 10 == 0)))
+    rows += [(500, None), (501, ""), (None, "w1 w2"), (1, rows[1][1]), (1, "another text of a labelled id"), (502, " ".join(words * 3000))]
+    return rows, labels
+
+
+def test_quality_weights_equal_brute_force(spark):
+    rows, labels = quality_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scored = quality.score(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), buckets=512, shrinks=(1.5, 2.5))
+    good_of = {i: int(q == 1 and t == 0) for i, q, t in labels}
+    for column, shrink in enumerate((1.5, 2.5)):
+        want = sorted((str(i), round(w, 3)) for (i, _), w in zip(rows, slow_weights(rows, good_of, shrink, 512)))
+        got = sorted((str(r.doc_id), round(r.log_weights[column], 3)) for r in scored.collect())
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert np.allclose([g[1] for g in got], [w[1] for w in want], atol=0.02)
+
+
+def test_quality_sample_is_the_gumbel_top_k(spark):
+    rows, labels = quality_rows()
+    docs, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    every = quality.sample(docs, table, share=1.0, buckets=512).collect()
+    assert len(every) == len(rows) and len({r.log_weight for r in every}) > 100
+    for share in (0.0, 0.3, 0.71):
+        k = round(share * len(rows))
+        keys = sorted((r.gumbel_key for r in every), reverse=True)
+        want = Counter((r.doc_id, r.gumbel_key) for r in every if k and r.gumbel_key >= keys[k - 1])
+        assert Counter((r.doc_id, r.gumbel_key) for r in quality.sample(docs, table, share=share, buckets=512).collect()) == want
+    # Equal rows are ties: all stay or none.
+    same = spark.createDataFrame([(7, "same text")] * 9 + [(i, f"other {i}") for i in range(8, 12)], "doc_id long, text string")
+    kept = Counter(r.doc_id for r in quality.sample(same, table, share=0.5).collect())
+    assert kept[7] in (0, 9) and sum(kept.values()) >= 6
+    # Noise is Gumbel's: mean 0.5772, standard deviation 1.2825.
+    noise = np.array([r.gumbel_key - r.log_weight for r in every])
+    assert abs(noise.mean() - 0.577) < 0.4 and 0.9 < noise.std() < 1.7
+
+
 def test_clashing_names_survive(spark):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     names = ["_words", "_key", "_keep_key", "_K", "_spans"]
@@ -366,7 +481,7 @@ def test_threshold_splits():
 @given(st.lists(st.tuples(st.sampled_from(["system", "user", "assistant", "tool", "", "[ROLE]"]), st.text(st.sampled_from(list("<>/[]sINT\\ROLEYDa é\n"))) | st.sampled_from(["</s>[INST] ok [/INST]", "<", "<</SYS>>", "\\", "[\\INST]", "<</SYS>", " "])), max_size=6))
 def test_chat_round_trip(turns):
     f = chat.Formatter()
-    text, spans = f.format(turns)
+    text, spans, _ = f.format(turns)
     assert f.read_back(text) == turns
     assert [f.unescape(text[a:b]) for a, b in spans] == [t for r, t in turns if r == "assistant"]
 
@@ -431,6 +546,41 @@ def test_weak_parts_across_the_edge_of_a_scope():
     assert found(f"{KEY} {'.' * 155} {WEAK}{WEAK} z") == [(1, KEY)]  # a longer run is no secret, wherever the edge falls
 
 
+def slow_links(text, width=200):
+    """Linked spans by comparing every part with every scope."""
+    base = slow_base(text)
+    over = lambda a, b: a[0] < b[1] and b[0] < a[1]
+    scopes = [(max(0, s - width), e + width) for s, k, e in base if k == 1]
+    spans = [(s, e) for s, _, e in base]
+    weak = [m.span() for m in re.finditer(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])", text)]
+    weak = [w for w in weak if any(over(w, c) for c in scopes) and not any(over(w, b) for b in spans)]
+    parts = weak + [(s, e) for s, k, e in base if k in (0, 2)]
+    ends = [m.span() for m in secrets.ENDPOINT.finditer(text)]
+    ends = [x for x in ends if any(over(x, c) and any(over(p, c) for p in parts) for c in scopes)]
+    return sorted(base + [(s, 3, e) for s, e in weak] + [(s, 4, e) for s, e in ends])
+
+
+GAPS = st.integers(0, 230).map(lambda n: " " + "." * n + " ")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(GAPS | st.sampled_from([KEY, WEAK, WEAK[:20], "https://s3.example.com/x", "10.0.0.1:80", "token=", "password: hunter22", "0123456789abcdef01234567.", " "]), max_size=25))
+def test_links_equal_brute_force(parts):
+    text = "".join(parts)
+    assert secrets.find(text)[1] == slow_links(text)
+
+
+def test_links_of_one_scope_only():
+    kinds = lambda t: [k for _, k, _ in secrets.find(t)[1]]
+    # Many base spans before a covered weak part don't hide the span that covers it.
+    runs = ".".join(["0123456789abcdef01234567"] * 6)
+    assert 3 not in kinds(f"{KEY} token=x.{runs}.{WEAK}")
+    # A chain of scopes is not one scope: the endpoint at its start has no secret near.
+    chain = (" " + "." * 280 + " ").join([KEY] * 5)
+    assert kinds(f"https://a.example.com {chain} {WEAK}") == [1, 1, 1, 1, 1, 3]
+    assert kinds(f"https://a.example.com {WEAK} {chain} {WEAK}") == [4, 3, 1, 1, 1, 1, 1, 3]
+
+
 def test_secrets(spark, docs, empty):
     df = spark.createDataFrame([(1, f"token={'a' * 8} {KEY}", 3), (2, None, None), (2, None, None)], "doc_id long, text string, n_chars long")
     got = sorted(secrets.scan(df).collect(), key=lambda r: r.doc_id)
@@ -446,7 +596,7 @@ def test_secrets(spark, docs, empty):
 def test_urls(spark):
     rows = [
         (1, "http://WWW.Example.com/en/1?x#y"), (2, "http://a.example.com/en/1"), (3, "https://x.net/es/"), (4, "https://x.com"), (5, None), (6, "no scheme/en/"),
-        (7, "http://www.cheap-pills.example.org/de/1"), (8, "http://library.example.org/de/1"), (9, "a://b://c/d"), (9, "a://b://c/d"), (10, "http://badexample.com/en/1"), (11, ""), (12, "http://h.org/" + "p" * 20_000),
+        (7, "http://www.poker-loan.example.org/de/1"), (8, "http://library.example.org/de/1"), (9, "a://b://c/d"), (9, "a://b://c/d"), (10, "http://badexample.com/en/1"), (11, ""), (12, "http://h.org/" + "p" * 20_000),
     ]
     weights = urls.train(urls.training_table(spark))
     got = {r.page_id: r for r in urls.judge(spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, host string"), weights).collect()}
@@ -455,9 +605,12 @@ def test_urls(spark):
     assert cut[2] == ("a.example.com", "/en/1", "example.com/en/") and got[2].verdict == "block"
     assert cut[3][2] == "net/es/" and got[3].verdict == "block" and cut[4] == ("x.com", "", None) and cut[5] == cut[6] == cut[11] == ("", "", None)
     assert got[7].verdict == "block" and got[8].verdict == "allow" and cut[9] == ("b:", "//c/d", None) and cut[10][2] == "com/"
-    table = [(r.url, r.bad) for r in urls.training_table(spark).collect()]
+    # Held out: other pairs of the words. Names that share no word with the table are let pass.
+    table = urls.labelled(7, "-") + urls.labelled(5, "") + [(f"http://{x}{y}.example.org/de/{i}", 0) for i, x in enumerate(("sunlit", "quiet", "harbour", "violet")) for y in ("", "-meadow", "brook")]
     scored = urls.judge(spark.createDataFrame([(i, u) for i, (u, _) in enumerate(table)], "page_id long, url string"), weights, rules=()).collect()
     assert np.mean([(r.score > 0.5) == bool(table[r.page_id][1]) for r in scored]) > 0.95
+    empty = spark.createDataFrame([], "page_id long, url string")
+    assert urls.judge(empty, weights).count() == 0 and urls.train(empty.select("url", F.lit(0).alias("bad"))) == [0.0] * urls.BUCKETS
 
 
 # FLAC
@@ -526,6 +679,54 @@ def test_flac_linear_predictor():
     assert flac.decode_frames([frame], [(0, 0, len(frame))])[0].tolist() == [v + 128 for v in x]
 
 
+def bits_of(v, n):
+    return f"{v & (1 << n) - 1:0{n}b}" if n else ""
+
+
+def slow_frame(number, x, kind, order, coef, precision, shift, method, parts, params):
+    """A frame of samples ``x`` by plain bit strings; ``params``: a Rice parameter a partition, None: escaped."""
+    fixed = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
+    c = fixed[order] if kind == "fixed" else coef
+    body = "0" + bits_of(8 + order if kind == "fixed" else 31 + order, 6) + "0" + "".join(bits_of(v, 8) for v in x[:order])
+    if kind == "lpc":
+        body += bits_of(precision - 1, 4) + bits_of(shift, 5) + "".join(bits_of(v, precision) for v in c)
+    body += bits_of(method, 2) + bits_of(parts.bit_length() - 1, 4)
+    res = [x[i] - (sum(a * x[i - 1 - j] for j, a in enumerate(c)) >> (shift if kind == "lpc" else 0)) for i in range(order, len(x))]
+    per = len(x) // parts
+    for p in range(parts):
+        mine = res[max(0, p * per - order) : (p + 1) * per - order]
+        if params[p] is None:
+            n = max([0, *(v.bit_length() + 1 for v in mine)])
+            body += bits_of(-1, 4 + method) + bits_of(n, 5) + "".join(bits_of(v, n) for v in mine)
+        else:
+            k = params[p]
+            body += bits_of(k, 4 + method)
+            for v in mine:
+                z = 2 * v if v >= 0 else -2 * v - 1
+                body += "0" * (z >> k) + "1" + bits_of(z, k)
+    body += "0" * (-len(body) % 8)
+    raw = flac.frame_header(number, len(x)) + bytes(int(body[i : i + 8], 2) for i in range(0, len(body), 8))
+    crc = int(flac.crc16_many(np.frombuffer(raw, np.uint8), np.array([0]), np.array([len(raw)]))[0])
+    return raw + crc.to_bytes(2, "big")
+
+
+def test_flac_decodes_every_subframe_type():
+    """Fixed orders 0 to 4 and linear predictors, both residual codings, partitions, escapes: all frames in one lockstep."""
+    rng, frames, want = np.random.default_rng(6), [], []
+    for n in range(120):
+        kind, parts = ("fixed", "lpc")[n % 2], (1, 2, 4)[n % 3]
+        order = n // 2 % 5 if kind == "fixed" else int(rng.integers(1, 9))
+        size = int(rng.integers(9, 40)) * 4
+        x = [int(v) for v in (np.clip(np.cumsum(rng.integers(-9, 10, size)), -128, 127) if n % 5 else rng.integers(-128, 128, size))]
+        precision = int(rng.integers(5, 10))
+        coef = [int(v) for v in rng.integers(-15, 16, order)]
+        params = [None if rng.random() < 0.2 else int(rng.integers(2, 8)) for _ in range(parts)]
+        frames.append(slow_frame(n, x, kind, order, coef, precision, int(rng.integers(0, 6)), int(rng.integers(0, 2)), parts, params))
+        want.append([v + 128 for v in x])
+    spots = [(i, 0, len(f)) for i, f in enumerate(frames)]
+    assert [x.tolist() for x in flac.decode_frames(frames, spots)] == want
+
+
 def test_flac_checks():
     s = flac.encode([b"hello world " * 500])[0]
     for at in (50, len(s) - 100, len(s) - 1):
@@ -544,6 +745,9 @@ def test_flac_columns(docs, empty):
         n, p = flac.padded(r.text)
         want[(r.doc_id, n, len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))] += 1
     assert Counter((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in rows) == want
+    assert all(r.block_offsets == list(range(0, r.payload_bytes, flac.BLOCK)) for r in rows)
+    again = flac.pcm_blocks(media.unionAll(media)).collect()  # repeated rows give their blocks twice
+    assert Counter(r.doc_id for r in again) == {k: 2 * v for k, v in Counter(r.doc_id for r in flac.pcm_blocks(media).collect()).items()}
     blocks = sorted((r for r in flac.pcm_blocks(media).collect() if r.doc_id == 11), key=lambda r: r.block)
     assert b"".join(r.pcm for r in blocks) == flac.padded(LONG)[1] and [r.sample_offset for r in blocks] == [i * flac.BLOCK for i in range(len(blocks))]
     assert flac.digest(flac.to_media(empty)).count() == 0
@@ -563,3 +767,36 @@ def test_pipeline(spark, tmp_path):
     assert kept[0] > kept[1] > kept[2] >= kept[3] == kept[4] > 0
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, src).collect()
     assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}
+
+
+def test_pipeline_on_awkward_rows(spark, tmp_path):
+    """Each stage on nulls, empty and long texts, repeated rows, clashing names and an empty table."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    src = str(tmp_path)
+    spark.createDataFrame(BENCH, "item_id long, text string").write.parquet(f"{src}/benchmark.parquet")
+    spark.createDataFrame([(0, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{src}/labels.parquet")
+    leak = "so alpha beta gamma delta epsilon zeta eta theta iota kappa and more"
+    key = f"id {KEY} key {WEAK} end"
+    rows = [(0, None), (1, ""), (2, LONG), (3, LONG), (3, LONG), (None, "no doc id at all"), (4, leak), (5, key), (5, key), (6, "plain words that stay"), (None, None)]
+    names = ["_key", "_k", "_keep_id", "_words", "good", "set_key", "fp"]
+    schema = "doc_id long, text string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame([(i, t, None if t is None else len(t), *[f"{n}{i}" for n in names]) for i, t in rows], schema)
+    stages = dict(corpus_pipeline.STAGES)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        none = stage(spark, docs.where("false"), src)
+        assert none.columns == docs.columns and none.count() == 0
+    assert stages["pack"](spark, docs.where("false"), src).count() == 0
+    out = docs
+    for name, want in (("quality", rows), ("near_dedup", [(0, None), (2, LONG), (None, "no doc id at all"), (4, leak), (5, key), (6, "plain words that stay")])):
+        out = stages[name](spark, out, src)
+        assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(want) and out.columns == docs.columns
+    clean = stages["decontaminate"](spark, out, src)
+    assert {r.doc_id for r in clean.collect()} == {0, 2, None, 5, 6}
+    safe = {r.doc_id: r for r in stages["secrets"](spark, clean, src).collect()}
+    assert safe[5].text == "id <access> key <weak_secret> end" and safe[5].n_chars == len(safe[5].text) and safe[0].text is None
+    assert all(r[n] == f"{n}{r.doc_id}" for r in safe.values() for n in names)
+    packed = stages["pack"](spark, stages["secrets"](spark, clean, src), src).collect()
+    assert Counter(r.doc_id for r in packed) == {0: 1, 2: len({r.piece for r in packed if r.doc_id == 2}), None: 1, 5: 1, 6: 1}
+    docs.write.parquet(f"{src}/documents.parquet")
+    whole = corpus_pipeline.run(spark, src)
+    assert Counter((r.doc_id, r.piece, r.ids_crc32) for r in whole.collect()) == Counter((r.doc_id, r.piece, r.ids_crc32) for r in packed)
