@@ -94,11 +94,8 @@ def replace_all(c: Column, pairs: list[tuple[str, str]]) -> Column:
 
 
 def without_prefix(c: Column) -> Column:
-    """Without the first question prefix that fits."""
-    out = F.when(c.startswith(L.QUESTION_PREFIXES[0]), F.substring(c, len(L.QUESTION_PREFIXES[0]) + 1, 1 << 30))
-    for p in L.QUESTION_PREFIXES[1:]:
-        out = out.when(c.startswith(p), F.substring(c, len(p) + 1, 1 << 30))
-    return out.otherwise(c)
+    """Without the first question prefix that fits. One pattern, so ``c`` stands in the plan once."""
+    return F.regexp_replace(c, rf"\A(?:{'|'.join(re.escape(p) for p in L.QUESTION_PREFIXES)})", "")
 
 
 def without_articles(c: Column) -> Column:
@@ -181,8 +178,8 @@ def category(keyword: Column) -> Column:
 
 def is_irrelevant(keyword: Column, tool: Column) -> Column:
     c, t = lowered(keyword), F.lower(tool)
-    exact = [c == F.concat(F.lit(a), t, F.lit(b)) for a, b in (x.split("{}") for x in L.IRRELEVANT_TEMPLATES)]
-    return reduce(lambda a, b: a | b, exact) | contains_any(c, L.IRRELEVANT_PATTERNS)
+    exact = [F.concat(F.lit(a), t, F.lit(b)) for a, b in (x.split("{}") for x in L.IRRELEVANT_TEMPLATES)]
+    return c.isin(*exact) | contains_any(c, L.IRRELEVANT_PATTERNS)
 
 
 def signal(n: Column) -> Column:

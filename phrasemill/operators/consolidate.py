@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lexicon import DEFAULT, Lexicon
 from ..plans.storage import stored
+from .ranks import numbered
 from .setsim import similar_ids
 
 SCOPE = ["tool", "batch"]
@@ -26,22 +27,32 @@ def relevant(keywords: DataFrame) -> DataFrame:
     return keywords.where(~X.is_irrelevant(F.col("keyword"), F.col("tool")))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed where it stands, once a row.
+
+    A filter on a plain projection is pushed below it (and below a distinct), with a second copy of the expression;
+    it can't pass the row that inline makes.
+    """
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def keyed(keywords: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     """``keywords`` with key and key_str; keyless rows go. Each distinct (tool, keyword) is normalized once."""
-    keys = keywords.select("tool", "keyword").distinct().withColumn("key", X.keyword_key(F.col("keyword"), F.col("tool"), lex)).where("size(key) > 0")
+    distinct = keywords.select("tool", "keyword").distinct()
+    keys = _once(distinct, "key", X.keyword_key(F.col("keyword"), F.col("tool"), lex)).where("size(key) > 0")
     return keywords.join(keys, ["tool", "keyword"]).withColumn("key_str", X.key_string(F.col("key")))
 
 
 def intent_groups(rows: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     """One row a key: n, first_pos, group_rank (larger first, then earlier), lead. Members stay in ``rows``."""
     groups = rows.groupBy(*SCOPE, "key_str").agg(F.first("key").alias("key"), F.count("*").alias("n"), F.min("pos").alias("first_pos"))
-    rank = F.row_number().over(W.partitionBy(*SCOPE).orderBy(F.desc("n"), "first_pos")).cast("long")
-    return groups.withColumn("group_rank", rank).withColumn("lead", X.lead_verb(F.col("key"), lex))
+    ranked_groups = numbered(groups, SCOPE, [(-F.col("n")).alias("o1"), F.col("first_pos").alias("o2")], "group_rank")
+    return ranked_groups.withColumn("lead", X.lead_verb(F.col("key"), lex))
 
 
 def title_index(titles: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     """key_str, key, n_titles of the published titles that have a key."""
-    keys = titles.withColumn("key", X.title_key(F.col("title"), lex)).where("key is not null")
+    keys = _once(titles, "key", X.title_key(F.col("title"), lex)).where("key is not null")
     return keys.groupBy(X.key_string(F.col("key")).alias("key_str")).agg(F.first("key").alias("key"), F.count("*").alias("n_titles"))
 
 
@@ -81,6 +92,13 @@ def first_variants(keyword: Column, *order: Column, shown: int = SHOWN) -> Colum
     return F.array_join(F.transform(F.slice(members, 1, shown), lambda m: m["kw"]), " | ")
 
 
+def shown_variants(members: DataFrame, by: list[str], order: list[str], shown: int = SHOWN) -> DataFrame:
+    """by..., all_variants: the first keywords of each group. Ranks come first (each task keeps ``shown`` a group before the shuffle), so no group is collected whole."""
+    place = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+    first = members.withColumn("place", place).where(F.col("place") <= shown)
+    return first.groupBy(*by).agg(first_variants(F.col("keyword"), *map(F.col, order), shown=shown).alias("all_variants"))
+
+
 def cluster_rows(rows: DataFrame, groups: DataFrame, clusters: DataFrame, index: DataFrame, minimum: int) -> DataFrame:
     """One row a surviving cluster: tool, batch, leader_rank, n, canonical_keyword, all_variants.
 
@@ -94,8 +112,7 @@ def cluster_rows(rows: DataFrame, groups: DataFrame, clusters: DataFrame, index:
     kept = large.join(open_leaders, [*SCOPE, "leader_rank"], "left_semi")
     members = rows.join(of_group.join(kept, [*SCOPE, "leader_rank"]), [*SCOPE, "key_str"]).select(*SCOPE, "leader_rank", "group_rank", "pos", "keyword", "size")
     at = [F.col("group_rank"), F.col("pos")]
-    place = F.row_number().over(W.partitionBy(*SCOPE, "leader_rank").orderBy(*at))
-    shown = members.withColumn("place", place).where(F.col("place") <= SHOWN).groupBy(*SCOPE, "leader_rank").agg(first_variants(F.col("keyword"), *at).alias("all_variants"))
+    shown = shown_variants(members, [*SCOPE, "leader_rank"], ["group_rank", "pos"])
     best = members.groupBy(*SCOPE, "leader_rank").agg(F.max("size").alias("n"), canonical(F.col("keyword"), *at).alias("canonical_keyword"))
     return best.join(shown, [*SCOPE, "leader_rank"])
 
@@ -128,8 +145,8 @@ def cross_dedup(results: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
 
 def ranked(results: DataFrame) -> DataFrame:
     """``results`` with final_rank in its tool: larger first, category, standard before low volume, leader rank."""
-    order = W.partitionBy("tool").orderBy(F.desc("variant_count"), "category", F.when(F.col("batch") == "standard", 0).otherwise(1), "leader_rank")
-    return results.withColumn("final_rank", F.row_number().over(order).cast("long"))
+    order = [(-F.col("variant_count")).alias("o1"), F.col("category").alias("o2"), F.when(F.col("batch") == "standard", 0).otherwise(1).alias("o3"), F.col("leader_rank").alias("o4")]
+    return numbered(results, ["tool"], order, "final_rank")
 
 
 def cross_tool_duplicates(results: DataFrame) -> DataFrame:

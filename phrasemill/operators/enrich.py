@@ -3,17 +3,22 @@
 The callable takes a list of {"keyword", "category", "variants"} and returns either a reply text
 (JSON, fenced or not) or a list of records {"index", "fixed_title", "irrelevant", "duplicate_of"}.
 A chunk that fails is skipped; the others count. Records whose index isn't in the chunk are dropped.
+``ChatService`` is such a callable for a chat service behind HTTP.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import time
 from collections.abc import Callable
+from dataclasses import dataclass, field
+from urllib.request import Request, urlopen
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..plans.ship import ship
 from .consolidate import CHUNK, apply_fixes, chunked
 
@@ -55,7 +60,56 @@ def propose(ranked: DataFrame, ask: Callable[[str, list[dict]], str | list[dict]
 
 
 def enrich(ranked: DataFrame, ask: Callable[[str, list[dict]], str | list[dict]], size: int = CHUNK, pause: float = 0.0) -> DataFrame:
+    """``ranked`` with the proposed fixes applied; suggested titles (where there are any) follow the fixed keywords."""
     from ..plans.storage import stored
 
     fixes = stored(propose(ranked, ask, size, pause), "fixes")  # a remote call is made once
-    return apply_fixes(ranked, fixes.where("error is null"))
+    fixed = apply_fixes(ranked, fixes.where("error is null"))
+    if "suggested_title" in ranked.columns:
+        fixed = fixed.withColumn("suggested_title", X.suggested_title(F.col("canonical_keyword"), F.col("tool")))
+    return fixed
+
+
+def prompt(tool: str, entries: list[dict]) -> str:
+    """The request for one chunk. What a reply must hold: a JSON array of fix records."""
+    listed = "\n".join(f"[{i}] keyword: {e['keyword']}\n    category: {e['category']}\n    variants: {e['variants']}" for i, e in enumerate(entries))
+    return (
+        f"These search phrases are candidates for tutorials about {tool}.\n"
+        f'Give each a tutorial title (such as "How to ... in {tool}"), repairing names that its variants show to be garbled. '
+        "Say which are no subject for a tutorial, and which repeat another entry of this list (by its number).\n\n"
+        f"{listed}\n\n"
+        'Reply with a JSON array only: [{"index": 0, "fixed_title": "...", "irrelevant": false, "duplicate_of": null}, ...]'
+    )
+
+
+def reply_text(reply: dict) -> str:
+    """The text of a chat service's JSON reply, in either of the two usual shapes."""
+    if "choices" in reply:
+        return reply["choices"][0]["message"]["content"]
+    return "".join(part.get("text", "") for part in reply["content"])
+
+
+@dataclass(frozen=True)
+class ChatService:
+    """``ask`` by HTTP: posts a chat request as JSON. Sent to the workers, so it holds plain values only."""
+
+    url: str
+    model: str
+    key: str = field(repr=False, default="")
+    max_tokens: int = 4096
+    timeout: float = 120.0
+
+    def __call__(self, tool: str, entries: list[dict]) -> str:
+        body = {"model": self.model, "max_tokens": self.max_tokens, "messages": [{"role": "user", "content": prompt(tool, entries)}]}
+        headers = {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}", "x-api-key": self.key}
+        with urlopen(Request(self.url, json.dumps(body).encode(), headers), timeout=self.timeout) as reply:
+            return reply_text(json.load(reply))
+
+
+def api_key(variable: str = "PHRASEMILL_API_KEY", file: str = ".api_key") -> str | None:
+    """The service's key: from the environment, else from a file in the working folder, else None."""
+    key = os.environ.get(variable, "").strip()
+    if not key and os.path.exists(file):
+        with open(file, encoding="utf-8") as f:
+            key = f.read().strip()
+    return key or None

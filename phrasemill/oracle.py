@@ -132,7 +132,7 @@ fi AS (SELECT *, row_number() OVER (PARTITION BY tool ORDER BY variant_count DES
 )
 
 FIRST_SHEET = "first_value(name) OVER (PARTITION BY lower(name) ORDER BY sheet_idx)"
-POS = "(sheet_idx::BIGINT * 1125899906842624 + row_idx::BIGINT * 33554432 + col_idx)"
+POS = "(sheet_idx::BIGINT * 17179869184 + row_idx::BIGINT * 16384 + col_idx)"
 CELL_OK = f"""lower(v) NOT IN ({', '.join(map(_q, L.SKIP_VALUES))}) AND length(v) >= 3 AND {' AND '.join(f'NOT starts_with(v, {_q(p)})' for p in L.CELL_PREFIXES)} AND NOT (v LIKE '**%' AND v LIKE '%**') AND {LOOKS}"""
 SKIP = " OR ".join(f"contains(lower(sheet), {_q(t)})" for t in L.SKIP_TABS)
 LOW = "CASE WHEN contains(lower(sheet), 'below 10') OR contains(lower(sheet), '< 10') OR contains(lower(sheet), '<10') THEN 'low_volume' ELSE 'standard' END"
@@ -140,7 +140,19 @@ TAB = f"ck AS (SELECT *, trim(value) AS v FROM ce WHERE value IS NOT NULL AND NO
 MIXED = f"""mv AS (SELECT *, trim(value) AS v FROM mx WHERE value IS NOT NULL), mh AS (SELECT sheet_idx, col_idx, v AS tool FROM mv WHERE row_idx = 0 AND v <> ''),
 mb AS (SELECT mv.*, tool FROM mv JOIN mh USING (sheet_idx, col_idx) WHERE row_idx > 0 AND length(v) >= 3 AND {LOOKS})"""
 
+REPORT = "replace(tool, ' ', '_') || '_cleaned' AS tool_file, canonical_keyword, suggested_title, category, variant_count, signal_strength, source, frequency_count, all_variants"
+# From a workbook, keywords come stripped and without the cells that its filters drop.
+FROM_BOOK = FINAL.replace(f"kw AS ({KEYWORDS})", f"kw AS (SELECT pos, tool, batch, v AS keyword FROM (SELECT *, trim(keyword) AS v FROM ({KEYWORDS})) WHERE {CELL_OK})")
+
 ORACLE_SQL: dict[str, str] = {
+    "workbook_cells": f"{BASE} SELECT CAST(dense_rank() OVER (ORDER BY sheet_idx) - 1 AS INTEGER) AS sheet_idx, 'tab ' || sheet_idx AS sheet, row_idx, col_idx, value FROM ce WHERE value IS NOT NULL",
+    "titles_csv": f"{BASE} SELECT title FROM ti",
+    "mix_second_pass": f"""{BASE}, {MIXED}, ck AS (SELECT *, trim(value) AS v FROM mx WHERE value IS NOT NULL)
+      SELECT 'Mix of Tools' AS tool, 'standard' AS batch, v AS keyword FROM ck WHERE {CELL_OK}
+      UNION ALL SELECT tool, 'standard', v FROM mb WHERE (tool, col_idx) IN (SELECT (tool, max(col_idx)) FROM mb GROUP BY tool)""",
+    "csv_sink": f"{FINAL} SELECT {REPORT} FROM fi",
+    "cli_run": f"{FROM_BOOK} SELECT {REPORT} FROM fi",
+    "title_counts": f"{BASE} SELECT 'titles' AS stage, count(*) AS n FROM ti UNION ALL SELECT 'title keys', count(DISTINCT key_str) FROM tk",
     "corpus_scan": KEYWORDS,
     "cell_filters": f"{BASE}, {TAB} SELECT sheet_idx, row_idx, col_idx, v AS keyword FROM cf",
     "looks_like_keyword": f"{BASE} SELECT row_idx, v AS value, {LOOKS} AS ok FROM (SELECT *, trim(value) AS v FROM ce WHERE value IS NOT NULL)",
@@ -148,7 +160,7 @@ ORACLE_SQL: dict[str, str] = {
     "batch_route": f"{BASE} SELECT DISTINCT sheet, {LOW} AS batch FROM ce",
     "tool_merge_ci": f"{BASE} SELECT sheet_idx, name, {FIRST_SHEET} AS tool FROM (SELECT DISTINCT sheet_idx, {TOOL} AS name FROM ce WHERE sheet <> 'Clean')",
     "tab_keywords": f"{BASE}, {TAB}, tn AS (SELECT sheet_idx, batch, {FIRST_SHEET} AS tool FROM (SELECT DISTINCT sheet_idx, {TOOL} AS name, {LOW} AS batch FROM cf)) SELECT tool, batch, {POS} AS pos, v AS keyword FROM cf JOIN tn USING (sheet_idx)",
-    "mix_unpivot": f"{BASE}, {MIXED} SELECT tool, 'standard' AS batch, {POS} AS pos, v AS keyword FROM mb WHERE (tool, col_idx) IN (SELECT (tool, max(col_idx)) FROM mb GROUP BY tool)",
+    "mix_unpivot": f"{BASE}, {MIXED} SELECT tool, 'standard' AS batch, {POS} + 4611686018427387904 AS pos, v AS keyword FROM mb WHERE (tool, col_idx) IN (SELECT (tool, max(col_idx)) FROM mb GROUP BY tool)",
     "tool_select": f"{BASE} SELECT pos, tool FROM kw WHERE lower(tool) IN ('small', 'standard')",
     "irrelevant_filter": f"{BASE} SELECT pos, tool, keyword FROM rel",
     "categorize": f"{BASE} SELECT pos, {_category('keyword')} AS category FROM kw",
@@ -184,6 +196,8 @@ ORACLE_SQL: dict[str, str] = {
     "chunk25": f"{FINAL} SELECT tool, final_rank, CAST((final_rank - 1) // 25 AS BIGINT) AS chunk, CAST((final_rank - 1) % 25 AS BIGINT) AS idx_in_chunk FROM fi",
     "apply_fixes": f"{FINAL}, fx AS ({FIXES} FROM fi) SELECT fi.tool, final_rank, coalesce(fixed_title, canonical_keyword) AS canonical_keyword, variant_count FROM fi JOIN fx ON fi.tool = fx.tool AND fx.idx = final_rank - 1 WHERE NOT irrelevant AND duplicate_of IS NULL",
     "stage_counts": f"""{FINAL} SELECT tool, batch, 'raw' AS stage, count(*) AS n FROM kw GROUP BY ALL UNION ALL SELECT tool, batch, 'relevant', count(*) FROM rel GROUP BY ALL UNION ALL SELECT tool, batch, 'groups', count(*) FROM g GROUP BY ALL
-      UNION ALL SELECT tool, batch, 'clusters', count(*) FROM (SELECT * FROM cs UNION ALL SELECT * FROM cl) WHERE r = leader GROUP BY ALL UNION ALL SELECT tool, batch, 'results', count(*) FROM ra GROUP BY ALL""",
+      UNION ALL SELECT tool, batch, 'clusters', count(*) FROM (SELECT * FROM cs UNION ALL SELECT * FROM cl) WHERE r = leader GROUP BY ALL
+      UNION ALL SELECT tool, batch, 'covered', count(*) FROM (SELECT * FROM cs UNION ALL SELECT * FROM cl) c JOIN g USING (tool, batch) WHERE r = leader AND g.group_rank = r AND key_str IN (SELECT key_str FROM cov) GROUP BY ALL
+      UNION ALL SELECT tool, batch, 'results', count(*) FROM ra GROUP BY ALL UNION ALL SELECT tool, batch, 'kept', count(*) FROM cd GROUP BY ALL""",
     "summary_by_tool": f"{FINAL} SELECT tool, count(*) AS n_keywords, count(*) FILTER (source = 'volume_10+') AS n_volume, count(*) FILTER (source = 'frequency_matched') AS n_frequency FROM fi GROUP BY ROLLUP (tool)",
 }

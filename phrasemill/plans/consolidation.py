@@ -32,14 +32,23 @@ class Consolidation:
 
     def __init__(self, keywords: DataFrame, titles: DataFrame, settings: Settings | None = None):
         self.keywords, self.titles, self.s = keywords, titles, settings or Settings()
+        self._relevant: DataFrame | None = None
         self._rows: DataFrame | None = None
         self._groups: DataFrame | None = None
         self._index: DataFrame | None = None
+        self._clusters: dict[str, DataFrame] = {}
+        self._results: DataFrame | None = None
+
+    def relevant(self) -> DataFrame:
+        """Stored, since keys are made of the distinct keywords and joined back: the source is read once."""
+        if self._relevant is None:
+            self._relevant = stored(O.relevant(self.keywords), "relevant")
+        return self._relevant
 
     def rows(self) -> DataFrame:
         """Relevant keywords with their keys."""
         if self._rows is None:
-            self._rows = stored(O.keyed(O.relevant(self.keywords), self.s.lexicon), "keyed")
+            self._rows = stored(O.keyed(self.relevant(), self.s.lexicon), "keyed")
         return self._rows
 
     def groups(self) -> DataFrame:
@@ -56,29 +65,44 @@ class Consolidation:
         return df.where(F.col("batch") == batch)
 
     def clusters(self, batch: str) -> DataFrame:
-        num, den = self.s.std_threshold if batch == "standard" else self.s.low_threshold
-        return C.leader_clusters(self._of(self.groups(), batch), num, den, self.s.lexicon, self.s.max_local)
+        """Stored: results and the report both read them."""
+        if batch not in self._clusters:
+            num, den = self.s.std_threshold if batch == "standard" else self.s.low_threshold
+            found = C.leader_clusters(self._of(self.groups(), batch), num, den, self.s.lexicon, self.s.max_local)
+            self._clusters[batch] = stored(found, f"clusters-{batch}")
+        return self._clusters[batch]
 
     def results(self, batch: str) -> DataFrame:
         minimum = self.s.min_std if batch == "standard" else self.s.min_freq
         found = O.cluster_rows(self._of(self.rows(), batch), self._of(self.groups(), batch), self.clusters(batch), self.index(), minimum)
         return O.standard_results(found) if batch == "standard" else O.low_results(found)
 
+    def every_result(self) -> DataFrame:
+        if self._results is None:
+            self._results = stored(self.results("standard").unionByName(self.results("low_volume")), "results")
+        return self._results
+
     def combined(self) -> DataFrame:
-        return O.cross_dedup(stored(self.results("standard").unionByName(self.results("low_volume")), "results"), self.s.lexicon)
+        return O.cross_dedup(self.every_result(), self.s.lexicon)
 
     def final(self) -> DataFrame:
         ranked = O.ranked(self.combined())
         return ranked.withColumn("suggested_title", X.suggested_title(F.col("canonical_keyword"), F.col("tool")))
 
     def stage_counts(self) -> DataFrame:
-        """tool, batch, stage, n: the run report as a table."""
+        """tool, batch, stage, n: the run report as a table. ``covered`` are clusters that a title covers, ``results`` those that qualify."""
 
         def count(df: DataFrame, stage: str) -> DataFrame:
             return df.groupBy("tool", "batch").agg(F.count("*").alias("n")).select("tool", "batch", F.lit(stage).alias("stage"), "n")
 
-        out = count(self.keywords, "raw").unionByName(count(O.relevant(self.keywords), "relevant")).unionByName(count(self.groups(), "groups"))
+        out = count(self.keywords, "raw").unionByName(count(self.relevant(), "relevant")).unionByName(count(self.groups(), "groups"))
         for batch in ("standard", "low_volume"):
             heads = self.clusters(batch).where("group_rank = leader_rank")
-            out = out.unionByName(count(heads, "clusters")).unionByName(count(self.results(batch), "results"))
-        return out
+            led = self.groups().join(heads.select("tool", "batch", "group_rank"), ["tool", "batch", "group_rank"], "left_semi")
+            covered = led.join(O.covered(led, self.index()), "key_str", "left_semi")
+            out = out.unionByName(count(heads, "clusters")).unionByName(count(covered, "covered"))
+        return out.unionByName(count(self.every_result(), "results")).unionByName(count(self.combined(), "kept"))
+
+    def title_counts(self) -> DataFrame:
+        """stage, n: published titles and the distinct keys they have."""
+        return self.titles.agg(F.count("*").alias("n")).select(F.lit("titles").alias("stage"), "n").unionByName(self.index().agg(F.count("*").alias("n")).select(F.lit("title keys").alias("stage"), "n"))

@@ -5,18 +5,32 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once and read again: later stages don't recompute it, and lost executors don't lose it."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new place below ``spark.checkpoint.dir``; a local folder only where a local session names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="phrasemill-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def put(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write one file through the store's own API."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read again: later stages don't recompute it, and lost executors don't lose it."""
+    path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,18 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import cli
 from .functions import text as X
 from .operators import cluster as C
 from .operators import consolidate as O
 from .operators.setsim import similar_pairs
 from .plans.consolidation import Consolidation
+from .plans.storage import put, shared_path
 from .sources import keywords as K
+from .sources.sinks import COLUMNS, read_results, write_results
+from .sources.workbook_writer import workbook
+from .sources.xlsx import read_cells
 
 # The corpus. Both engines run this text; ``part`` is the table of that name.
 
 KEYWORDS = """
 SELECT pos, tool, batch,
-  CASE CAST(pos % 10 AS INT)
+  CASE CAST(CASE WHEN batch = 'low_volume' AND pos % 10 IN (4, 9) THEN 3 ELSE pos % 10 END AS INT)
     WHEN 0 THEN concat('how to ', verb, ' a ', adj, ' ', noun, ' in ', lower(tool))
     WHEN 1 THEN concat('How to ', verb, ' ', adj, ' ', noun, 's?')
     WHEN 2 THEN concat(lower(tool), ' how can we ', verb, ' ', adj, ' ', noun)
@@ -32,8 +37,8 @@ SELECT pos, tool, batch,
 FROM (
   SELECT p_partkey AS pos, p_type AS tool,
     CASE WHEN p_partkey % 3 = 0 THEN 'low_volume' ELSE 'standard' END AS batch,
-    split_part(p_name, ' ', 2) AS noun, split_part(p_name, ' ', 1) AS adj,
-    CASE CAST(p_size % 8 AS INT) WHEN 0 THEN 'add' WHEN 1 THEN 'insert' WHEN 2 THEN 'remove' WHEN 3 THEN 'get rid of'
+    split_part(p_name, ' ', 2) AS noun, CASE WHEN p_partkey % 3 = 0 THEN 'new' ELSE split_part(p_name, ' ', 1) END AS adj,
+    CASE CAST(CASE WHEN p_partkey % 3 = 0 THEN 2 + 4 * (p_size % 2) ELSE p_size % 8 END AS INT) WHEN 0 THEN 'add' WHEN 1 THEN 'insert' WHEN 2 THEN 'remove' WHEN 3 THEN 'get rid of'
       WHEN 4 THEN 'set up' WHEN 5 THEN 'Create' WHEN 6 THEN 'turn off' ELSE 'connect' END AS verb
   FROM part) v
 """
@@ -43,7 +48,7 @@ SELECT p_partkey AS title_pos,
   CASE CAST(p_partkey % 2 AS INT)
     WHEN 0 THEN concat('How to Add a ', split_part(p_name, ' ', 1), ' ', split_part(p_name, ' ', 2), '?')
     ELSE concat('How do I Delete ', split_part(p_name, ' ', 1), ' ', split_part(p_name, ' ', 2), 's in ', p_type) END AS title
-FROM part WHERE p_partkey % 37 = 0
+FROM part
 """
 
 #: Tabs: a tool's standard tab, its low-volume tab in lower case, a skipped tab.
@@ -62,8 +67,8 @@ WITH k AS (SELECT *, CAST(dense_rank() OVER (ORDER BY tool) AS INT) - 1 AS col F
 h AS (SELECT DISTINCT col, tool FROM k)
 SELECT 9 AS sheet_idx, ' Mix of Tools' AS sheet, 0 AS row_idx, col AS col_idx, tool AS value FROM h
 UNION ALL SELECT 9, ' Mix of Tools', 0, 100, tool FROM h WHERE col = 0
-UNION ALL SELECT 9, ' Mix of Tools', CAST(pos AS INT), col, keyword FROM k WHERE pos % 5 <> 0
-UNION ALL SELECT 9, ' Mix of Tools', CAST(pos AS INT), 100, keyword FROM k WHERE col = 0 AND pos % 50 = 1
+UNION ALL SELECT 9, ' Mix of Tools', CAST(pos AS INT), col, keyword FROM k
+UNION ALL SELECT 9, ' Mix of Tools', CAST(pos AS INT), 100, concat(keyword, ' again') FROM k WHERE col = 0
 """
 
 FIXES = """
@@ -103,6 +108,65 @@ def corpus_scan(spark, d):
     return keywords(spark, d)
 
 
+def book_file(spark: SparkSession, made: DataFrame, label: str) -> str:
+    """A workbook of cells (sheet_idx from 1 or 9, sheet, row_idx, col_idx, value); a tab's name is its first cell's."""
+    tabs: dict[int, tuple[str, list]] = {}
+    for r in made.where("value is not null").orderBy("sheet_idx", "row_idx", "col_idx").toLocalIterator():
+        tabs.setdefault(r.sheet_idx, (r.sheet, []))[1].append((r.row_idx, r.col_idx, r.value))
+    path = shared_path(spark, label) + ".xlsx"
+    put(spark, path, workbook(tabs.values()))
+    return path
+
+
+def titles_file(spark: SparkSession, d: str) -> str:
+    path = shared_path(spark, "titles")
+    titles(spark, d).select("title_pos", F.col("title").alias("Name")).write.csv(path, header=True, escape='"')
+    return path
+
+
+@query
+def workbook_cells(spark, d):
+    """Cells of a workbook that was written first; tabs are numbered in its order."""
+    made = cells(spark, d).withColumn("sheet", F.concat(F.lit("tab "), "sheet_idx"))
+    return read_cells(spark, book_file(spark, made, "book")).select("sheet_idx", "sheet", "row_idx", "col_idx", "value")
+
+
+@query
+def titles_csv(spark, d):
+    return K.read_titles(spark, titles_file(spark, d)).select("title")
+
+
+@query
+def mix_second_pass(spark, d):
+    """Ordinary tabs of a workbook, then its mixed tab once more with a tool a column."""
+    return K.all_keywords(read_cells(spark, book_file(spark, mix_cells(spark, d), "mix"))).select("tool", "batch", "keyword")
+
+
+@query
+def csv_sink(spark, d):
+    """Report files that were written first."""
+    path = shared_path(spark, "report")
+    write_results(job(spark, d).final(), path)
+    return read_results(spark, path).select("tool_file", *COLUMNS)
+
+
+@query
+def cli_run(spark, d):
+    """The command line's run: a workbook and a titles file in, report files out and read back."""
+    made = keywords(spark, d).selectExpr(
+        "cast(dense_rank() over (order by tool, batch desc) as int) as sheet_idx", "concat(tool, if(batch = 'standard', ' - 10+', ' - below 10')) as sheet",
+        "cast(pos as int) as row_idx", "0 as col_idx", "keyword as value",
+    )
+    out = shared_path(spark, "output")
+    cli.run(spark, cli.arguments(["--xlsx", book_file(spark, made, "book"), "--cms", titles_file(spark, d), "-o", out]))
+    return read_results(spark, out).select("tool_file", *COLUMNS)
+
+
+@query
+def title_counts(spark, d):
+    return job(spark, d).title_counts()
+
+
 @query
 def cell_filters(spark, d):
     return K.cell_keywords(cells(spark, d)).select("sheet_idx", "row_idx", "col_idx", "keyword")
@@ -273,7 +337,7 @@ def signal_bucket(spark, d):
 
 @query
 def variants_top15(spark, d):
-    return job(spark, d).rows().groupBy("tool", "batch", "key_str").agg(O.first_variants(F.col("keyword"), F.col("pos")).alias("all_variants"))
+    return O.shown_variants(job(spark, d).rows(), ["tool", "batch", "key_str"], ["pos"])
 
 
 @query

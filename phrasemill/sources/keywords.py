@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,23 +17,45 @@ def cell_keywords(cells: DataFrame) -> DataFrame:
     return cells.where(F.col("value").isNotNull() & ~X.is_skipped_tab(F.col("sheet"))).withColumn("keyword", value).where(X.cell_is_keyword(F.col("keyword"))).drop("value")
 
 
+#: Bits of a position: mixed tab, workbook, tab, row, column (a sheet has at most 2**20 rows and 2**14 columns).
+BOOK_BITS, SHEET_BITS, ROW_BITS, COL_BITS = 16, 12, 20, 14
+TAB = ["path", "sheet_idx"]
+
+
+def booked(cells: DataFrame) -> DataFrame:
+    """``cells`` with path (empty where there is none) and book_idx: the workbook's place by path."""
+    if "path" not in cells.columns:
+        return cells.withColumn("path", F.lit("")).withColumn("book_idx", F.lit(0).cast("long"))
+    if "book_idx" in cells.columns:
+        return cells
+    books = cells.select("path").distinct()  # a row a workbook
+    order = F.row_number().over(W.orderBy("path")).cast("long") - 1
+    return cells.join(books.select("path", order.alias("book_idx")), "path")
+
+
 def merged_tools(tabs: DataFrame) -> DataFrame:
-    """``tabs`` (sheet_idx, name...) with tool: the first tab's spelling among names equal in lower case."""
-    first = W.partitionBy(F.lower("name")).orderBy("sheet_idx")
+    """``tabs`` (sheet_idx, name..., book_idx if there are several workbooks) with tool: the first tab's spelling among names equal in lower case."""
+    at = [c for c in ("book_idx", "sheet_idx") if c in tabs.columns]
+    first = W.partitionBy(F.lower("name")).orderBy(*at)
     return tabs.withColumn("tool", F.first_value("name").over(first))
 
 
 def tab_keywords(cells: DataFrame) -> DataFrame:
-    """tool, batch, pos, keyword of ordinary tabs; pos follows tab, row and column."""
-    found = cell_keywords(cells)
-    tabs = found.select("sheet_idx", "sheet").distinct().withColumn("name", X.tool_name(F.col("sheet")))
-    named = merged_tools(tabs).select("sheet_idx", "tool", F.when(X.is_low_volume(F.col("sheet")), "low_volume").otherwise("standard").alias("batch"))
-    return found.join(named, "sheet_idx").select("tool", "batch", position("sheet_idx", "row_idx", "col_idx").alias("pos"), "keyword")
+    """tool, batch, pos, keyword of ordinary tabs; pos follows workbook, tab, row and column."""
+    found = cell_keywords(booked(cells))
+    tabs = found.select("book_idx", *TAB, "sheet").distinct().withColumn("name", X.tool_name(F.col("sheet")))
+    named = merged_tools(tabs).select(*TAB, "tool", F.when(X.is_low_volume(F.col("sheet")), "low_volume").otherwise("standard").alias("batch"))
+    return found.join(named, TAB).select("tool", "batch", position().alias("pos"), "keyword")
 
 
-def position(sheet: str, major: str, minor: str):
-    """One number that sorts like (sheet, major, minor): 12, 25 and 25 bits (Excel has 2**20 rows and 2**14 columns)."""
-    return F.shiftleft(F.col(sheet).cast("long"), 50) + F.shiftleft(F.col(major).cast("long"), 25) + F.col(minor).cast("long")
+def position(mixed: bool = False) -> Column:
+    """One number that sorts like (mixed tab or not, workbook, tab, row, column). Numbers beyond their bits are an error, not a collision."""
+    fields = [("book_idx", BOOK_BITS), ("sheet_idx", SHEET_BITS), ("row_idx", ROW_BITS), ("col_idx", COL_BITS)]
+    pos, fits = F.lit(int(mixed)).cast("long"), F.lit(True)
+    for name, bits in fields:
+        pos = F.shiftleft(pos, bits) + F.col(name).cast("long")
+        fits = fits & (F.col(name) >= 0) & (F.col(name) < 1 << bits)
+    return F.when(fits, pos).otherwise(F.raise_error(F.lit("more workbooks, tabs, rows or columns than a position can hold")).cast("long"))
 
 
 def mix_keywords(cells: DataFrame) -> DataFrame:
@@ -41,19 +63,19 @@ def mix_keywords(cells: DataFrame) -> DataFrame:
 
     Of columns with one name, the last that has keywords counts.
     """
-    mine = cells.where((X.lowered(F.col("sheet")) == MIX) & F.col("value").isNotNull()).withColumn("value", X.strip(F.col("value")))
-    heads = mine.where("row_idx = 0").select("sheet_idx", "col_idx", F.col("value").alias("tool")).where("tool <> '' and lower(tool) <> 'none'")
+    mine = booked(cells).where((X.lowered(F.col("sheet")) == MIX) & F.col("value").isNotNull()).withColumn("value", X.strip(F.col("value")))
+    heads = mine.where("row_idx = 0").select(*TAB, "col_idx", F.col("value").alias("tool")).where("tool <> '' and lower(tool) <> 'none'")
     below = mine.where("row_idx > 0").where(X.looks_like_keyword(F.col("value")) & (F.length("value") >= 3))
-    found = below.join(F.broadcast(heads), ["sheet_idx", "col_idx"])  # a sheet has at most 16,384 columns
-    last = found.groupBy("sheet_idx", "tool").agg(F.max("col_idx").alias("col_idx"))
-    return found.join(last, ["sheet_idx", "tool", "col_idx"]).select("tool", F.lit("standard").alias("batch"), position("sheet_idx", "row_idx", "col_idx").alias("pos"), F.col("value").alias("keyword"))
+    found = below.join(heads, [*TAB, "col_idx"])
+    last = found.groupBy(*TAB, "tool").agg(F.max("col_idx").alias("col_idx"))
+    return found.join(last, [*TAB, "tool", "col_idx"]).select("tool", F.lit("standard").alias("batch"), position(mixed=True).alias("pos"), F.col("value").alias("keyword"))
 
 
 def all_keywords(cells: DataFrame, compat: bool = True) -> DataFrame:
     """Ordinary tabs, then the mixed tab. With ``compat`` the mixed tab is an ordinary tab too."""
+    cells = booked(cells)
     tabs = cells if compat else cells.where(X.lowered(F.col("sheet")) != MIX)
-    mix = mix_keywords(cells).withColumn("pos", F.col("pos") + F.lit(1 << 62))
-    return tab_keywords(tabs).unionByName(mix)
+    return tab_keywords(tabs).unionByName(mix_keywords(cells))
 
 
 def selected_tools(keywords: DataFrame, names: str | None) -> DataFrame:
@@ -64,7 +86,10 @@ def selected_tools(keywords: DataFrame, names: str | None) -> DataFrame:
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
-    """title_pos, title from the ``Name`` column of CSV files; blank and missing ones go."""
+    """title_pos, title from the ``Name`` column of CSV files; blank and missing ones go.
+
+    Fields may hold line ends, so one file is one task; more files are read side by side.
+    """
     rows = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8")
     titles = rows.select(F.monotonically_increasing_id().alias("title_pos"), X.strip(F.col("Name")).alias("title"))
     return titles.where("title <> ''")

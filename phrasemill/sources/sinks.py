@@ -1,8 +1,11 @@
-"""CSV sink: one directory a tool, the eight report columns."""
+"""CSV sink: the eight report columns, one file a tool."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import csv
+import io
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -10,12 +13,52 @@ from ..functions import text as X
 COLUMNS = ("canonical_keyword", "suggested_title", "category", "variant_count", "signal_strength", "source", "frequency_count", "all_variants")
 
 
-def write_results(final: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with ``tool_file=<name>_cleaned`` directories, rows in final order.
+def write_results(final: DataFrame, path: str, merged: bool = True) -> None:
+    """Overwrite ``path`` with ``<name>_cleaned.csv`` a tool, rows in final order. Tools with one safe name share a file.
 
-    Range partitioning keeps a tool's rows together and in order without one task for all tools.
+    Tasks write parts (``tool_file=<name>_cleaned`` directories) dealt by ranges of (tool, rank), so a large tool is
+    several parts in order. ``merged`` joins a tool's parts to one file by streams through the store's own API; without
+    it the directories stay, each part with a header.
     """
     named = final.withColumn("tool_file", F.concat(X.safe_name(F.col("tool")), F.lit("_cleaned")))
-    ordered = named.repartitionByRange("tool_file").sortWithinPartitions("tool_file", "tool", "final_rank")
+    ordered = named.repartitionByRange("tool_file", "tool", "final_rank").sortWithinPartitions("tool_file", "tool", "final_rank")
     out = ordered.select("tool_file", *COLUMNS).write.mode("overwrite").partitionBy("tool_file")
-    out.option("header", True).option("escape", '"').option("emptyValue", "").option("lineSep", "\r\n").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    out.option("header", not merged).option("escape", '"').option("emptyValue", "").option("lineSep", "\r\n").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    if merged:
+        _merge(final.sparkSession, path)
+
+
+def _merge(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    header = io.StringIO(newline="")
+    csv.writer(header).writerow(COLUMNS)
+    prefix = "tool_file="
+    for folder in fs.listStatus(root):
+        name = folder.getPath().getName()
+        if not folder.isDirectory() or not name.startswith(prefix):
+            continue
+        parts = sorted((f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+        # Names of partition folders are escaped; the file has the name itself.
+        plain = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name.removeprefix(prefix))
+        target = fs.create(jvm.org.apache.hadoop.fs.Path(root, f"{plain}.csv"), True)
+        try:
+            target.write(bytearray(header.getvalue().encode()))
+            for part in parts:
+                source = fs.open(part)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, target, conf, False)
+                finally:
+                    source.close()
+        finally:
+            target.close()
+        fs.delete(folder.getPath(), True)
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """tool_file and the report's columns of the files that ``write_results`` merged; an empty field is an empty string."""
+    kinds = ", ".join(f"{c} {'long' if c == 'variant_count' else 'string'}" for c in COLUMNS)
+    rows = spark.read.schema(kinds).csv(f"{path.rstrip('/')}/*_cleaned.csv", header=True, escape='"', multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, enforceSchema=True)
+    filled = [c if c == "variant_count" else F.coalesce(c, F.lit("")).alias(c) for c in COLUMNS]
+    return rows.select(*filled, F.col("_metadata.file_name").alias("_file")).withColumn("tool_file", F.regexp_extract("_file", r"^(.*)\.csv$", 1)).drop("_file")

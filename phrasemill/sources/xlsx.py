@@ -14,6 +14,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 from xml.etree import ElementTree as ET
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,15 +120,21 @@ def _cell(c: ET.Element, shared: list[str], styles: list[bool]) -> str | None:
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    return cells_of(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def cells_of(files: DataFrame) -> DataFrame:
+    """The cells of workbooks (path, content)."""
+
     def unpack(frames):
         import pandas as pd
 
         columns = [c.split()[0] for c in CELLS.split(", ")]
         for pdf in frames:
             for name, data in zip(pdf.path, pdf.content):
-                rows = [(name, *r) for r in workbook_cells(data)]
-                for i in range(0, len(rows), 100_000):
-                    yield pd.DataFrame(rows[i : i + 100_000], columns=columns)
+                cells = ((name, *c) for c in workbook_cells(data))
+                while lot := list(islice(cells, 100_000)):
+                    yield pd.DataFrame(lot, columns=columns)
 
-    ship(spark)
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(unpack, CELLS)
+    ship(files.sparkSession)
+    return files.mapInPandas(unpack, CELLS)
