@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import DEFAULT, Lexicon
-from ..plans.storage import stored
+from ..plans.storage import discard, stored
 from .setsim import similar_pairs
 
 SCOPE = ["tool", "batch"]
@@ -56,7 +56,8 @@ def iterated(groups: DataFrame, num: int, den: int, lex: Lexicon = DEFAULT) -> D
         seen = near.join(of_j, [*SCOPE, "j"], "left").withColumn("leads", F.when(F.col("known"), F.col("leads")).otherwise(True))
         vote = seen.groupBy(*SCOPE, F.col("i").alias("id")).agg(F.coalesce(F.bool_or("leads"), F.lit(False)).alias("some"), F.bool_and(F.coalesce(~F.col("leads"), F.lit(False))).alias("none"))
         fresh = state.join(vote, [*SCOPE, "id"]).select(*SCOPE, "id", F.coalesce("leads", F.when(F.col("some"), False).when(F.col("none"), True)).alias("leads"))
-        state = stored(fresh, "cluster-state")
+        before, state = state, stored(fresh, "cluster-state")
+        discard(before)
         if state.where("leads is null").isEmpty():
             break
     followers = state.where("not leads").select(*SCOPE, F.col("id").alias("i"))

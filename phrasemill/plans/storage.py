@@ -34,3 +34,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    spark = df.sparkSession
+    for place in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
