@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.ship import ship
+from ..plans.storage import shared_path as shared_dir
 
 #: Rows handed to Python at once; long texts make rows large, so batches are kept short.
 ARROW_ROWS = 1000
@@ -33,20 +33,6 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only where the session names none (tests in local mode) is a local folder used.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.partition("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="phrasemill-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 #: Folders of intermediate tables that this process has made, oldest first.
 MADE: list[str] = []
 
