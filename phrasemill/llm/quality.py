@@ -60,9 +60,9 @@ MAX_LABELLED = 50_000
 SEED = 5
 GRAM = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 #: Distinct pieces kept by a worker; the table starts anew beyond.
-MAX_PIECES = 500_000
+MAX_PIECES = 300_000
 #: Characters counted together; a longer text is counted by itself.
-SLICE_CHARS = 1 << 22
+SLICE_CHARS = 1 << 21
 
 
 class GramHasher:

@@ -34,8 +34,8 @@ UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 #: A place where a unit starts within a text.
 START = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
-#: Distinct units kept by a worker; the table starts anew beyond (about 200 bytes each).
-MAX_UNITS = 700_000
+#: Distinct units kept by a worker; the table starts anew beyond (about 400 bytes each with its word).
+MAX_UNITS = 400_000
 #: Characters whose units are looked up together.
 SLICE_CHARS = 1 << 22
 #: A piece and its end mark: letters that are the same after NFC and have a one-to-one lower case, a run of
