@@ -290,6 +290,12 @@ def test_near_dedup_stage_finds_near_copies(spark):
                     label[a] = label[b] = min(label[a], label[b], key=lambda k: (k[0] is None, k[0] or 0))
     assert {label[(r.doc_id, r.text)] for r in kept} == set(label.values())
     assert len(kept) < 100 and minhash.keep_one(docs.where("false")).count() == 0
+    # Crowded buckets go through the similarity join, with the same result.
+    assert Counter((r.doc_id, r.text) for r in minhash.keep_one(docs, max_bucket=0).collect()) == Counter((r.doc_id, r.text) for r in kept)
+    # Texts from one template, less alike than near copies: all share bands with many others, all stay.
+    line = " ".join(f"t{i}" for i in range(100))
+    alike = spark.createDataFrame([(i, f"{line} " + " ".join(f"own{i}x{k}" for k in range(30))) for i in range(120)], "doc_id long, text string")
+    assert minhash.keep_one(alike, max_bucket=5).count() == 120
 
 
 # Decontamination
