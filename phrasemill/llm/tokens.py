@@ -35,7 +35,7 @@ UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: A place where a unit starts within a text.
 START = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
 #: Distinct units kept by a worker; the table starts anew beyond (about 400 bytes each with its word).
-MAX_UNITS = 400_000
+MAX_UNITS = 600_000
 #: Characters whose units are looked up together.
 SLICE_CHARS = 1 << 22
 #: A piece and its end mark: letters that are the same after NFC and have a one-to-one lower case, a run of
@@ -135,7 +135,10 @@ class UnitEncoder:
         joined = "\n".join(units)
         if self.lower:
             joined = joined.replace(" ", "").lower()
-        joined = joined.encode().decode("latin-1").translate(self.to_chars)
+        if joined.isascii():  # printable ASCII stands for itself
+            joined = joined.replace(" ", self.to_chars[32])
+        else:
+            joined = joined.encode().decode("latin-1").translate(self.to_chars)
         ids = np.array(self.plain.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
         edges = np.flatnonzero(self.edge[ids])
         if len(edges) != len(units):
@@ -160,7 +163,8 @@ class UnitEncoder:
         if len(known) + len(words) > self.max_units:
             known.clear()
             words = list({w for w, _, x in found if w and not x})
-        known.update(zip(words, self._by_lots(self._words, [" " + w for w in words])))
+        for some in ([w for w in words if w.isascii()], [w for w in words if not w.isascii()]):
+            known.update(zip(some, self._by_lots(self._words, [" " + w for w in some])))
         marks = list({m for w, m, x in found if w and m and not x})
         marks = {"": b""} | dict(zip(marks, self._by_lots(self._library, marks)))
         other = [p if p[:1] == "\n" else " " + p for p, (w, _, x) in zip(pieces, found) if x or not w]
