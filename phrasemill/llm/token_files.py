@@ -168,7 +168,9 @@ def crc_by_document(reader, sizes: np.ndarray) -> list[int]:
     left = int(sizes[0]) if len(sizes) else 0
     for b in range(reader.num_record_batches):
         batch = reader.get_batch(b)
-        ids = batch.column(0).values.to_numpy()[batch.column(1).values.to_numpy(zero_copy_only=False)]
+        ids, mask = batch.column(0).values.to_numpy(), batch.column(1).values
+        if mask.true_count < len(mask):  # only a file's last batch has padding
+            ids = ids[mask.to_numpy(zero_copy_only=False)]
         raw, at, n = memoryview(ids.astype("<u4").tobytes()), 0, len(ids)
         while at < n:
             take = min(left, n - at)
