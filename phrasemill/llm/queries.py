@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, flac, packing, quality, secrets, simhash, token_counts, token_files, urls
+from . import chat, decontaminate, divergence, flac, packing, periodic, pieces, quality, secrets, simhash, token_counts, token_files, urls
 from .common import stored, table
 
 
@@ -59,8 +59,25 @@ def op10_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.digest(media)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.find_runs(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode(table(spark, sf_dir, "documents"), decoded=True)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_pack, op3_token_files, op4_simhash, op5_quality, op6_chat, op7_secrets, op8_token_counts, op9_urls, op10_flac)
+    f.__name__: f
+    for f in (
+        op1_decontaminate, op2_pack, op3_token_files, op4_simhash, op5_quality, op6_chat, op7_secrets, op8_token_counts, op9_urls, op10_flac,
+        op11_source_divergence, op12_periodic_runs, op13_sentencepiece,
+    )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": decontaminate.ORACLE, "op6_chat": chat.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": decontaminate.ORACLE, "op6_chat": chat.ORACLE, "op11_source_divergence": divergence.ORACLE}
