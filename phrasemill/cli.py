@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .operators import consolidate as O
 from .operators.enrich import ChatService, api_key, enrich
 from .plans.consolidation import Consolidation, Settings
-from .plans.storage import stored
+from .plans.storage import Scope, stored
 from .sources.keywords import all_keywords, read_titles, selected_tools
 from .sources.sinks import write_results
 from .sources.xlsx import read_cells
@@ -46,19 +46,20 @@ def service(args: argparse.Namespace) -> ChatService | None:
 
 
 def run(spark: SparkSession, args: argparse.Namespace, ask: Callable | None = None, report: Callable[[DataFrame], None] | None = None) -> DataFrame:
-    """The final rows, which are also written. ``ask`` turns enrichment on (see ``operators.enrich``); ``report`` gets the stage counts."""
-    cells = stored(read_cells(spark, args.xlsx), "cells")
-    keywords = selected_tools(all_keywords(cells), args.tools)
-    s = Settings((args.threshold.numerator, args.threshold.denominator), (args.low_threshold.numerator, args.low_threshold.denominator), min_freq=args.min_freq)
-    job = Consolidation(keywords, read_titles(spark, args.cms), s)
-    final = stored(job.final(), "final")
-    if report is not None:
-        report(job.stage_counts())
-        report(job.title_counts())
-    if ask is not None:
-        final = stored(enrich(final, ask, pause=args.ai_pause), "enriched")
-    write_results(final, args.output)
-    return final
+    """The final rows, which are also written; they are the only intermediate table that stays. ``ask`` turns enrichment on (see ``operators.enrich``); ``report`` gets the stage counts."""
+    with Scope(spark) as scope:
+        cells = stored(read_cells(spark, args.xlsx), "cells")
+        keywords = selected_tools(all_keywords(cells), args.tools)
+        s = Settings((args.threshold.numerator, args.threshold.denominator), (args.low_threshold.numerator, args.low_threshold.denominator), min_freq=args.min_freq)
+        with Consolidation(keywords, read_titles(spark, args.cms), s) as job:
+            final = stored(job.final(), "final")
+            if report is not None:
+                report(job.stage_counts())
+                report(job.title_counts())
+            if ask is not None:
+                final = stored(enrich(final, ask, pause=args.ai_pause), "enriched")
+        write_results(final, args.output)
+        return scope.keep(final)
 
 
 def main(argv: list[str] | None = None) -> None:

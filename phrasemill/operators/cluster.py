@@ -3,25 +3,35 @@
 Keys come by rank. A key joins the earlier leader that is most similar to it (ties: the lowest
 rank), if that reaches the threshold and their lead verbs aren't opposites; else it leads.
 
-``iterated`` is the distributed form: a key leads once all its earlier neighbours follow, and
-follows once one of them leads; this is the lexicographically first maximal independent set of
-the similarity graph (Blelloch, Fineman and Shun, SPAA 2012). ``local`` scans one partition's
-keys in order. ``leader_clusters`` uses ``local`` for partitions of at most ``max_local`` keys,
-whose memory is thereby bounded, and ``iterated`` for the others. Both give the same clusters.
+Who leads is the lexicographically first maximal independent set of the similarity graph (Blelloch,
+Fineman and Shun, SPAA 2012). ``iterated`` settles it by joins over the graph's edges: a few rounds
+in which every key without earlier unsettled neighbours leads and its neighbours follow, which is
+nearly all in graphs without long chains; then what is left goes by blocks of ranks, each settled by
+one scan of its inner edges and one join with the edges that leave it. So the rounds are bounded by
+the number of blocks, whatever the graph. ``local`` scans one partition's keys in order.
+``leader_clusters`` uses ``local`` for partitions of at most ``max_local`` keys, whose memory is
+thereby bounded, and ``iterated`` for the others. Both give the same clusters.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import DEFAULT, Lexicon
+from ..plans.ship import ship
 from ..plans.storage import discard, stored
+from .ranks import numbered
 from .setsim import similar_pairs
 
 SCOPE = ["tool", "batch"]
 MAX_LOCAL = 20_000
+#: Rounds that settle keys side by side, before blocks of so many keys are settled one after the other.
+ROUNDS, BLOCK = 4, 20_000
 
 
 def opposed(a: Column, b: Column, lex: Lexicon = DEFAULT) -> Column:
@@ -30,10 +40,19 @@ def opposed(a: Column, b: Column, lex: Lexicon = DEFAULT) -> Column:
     return F.coalesce(a.isNotNull() & b.isNotNull() & pair.isin(*[" ".join(p) for p in lex.never_merge]), F.lit(False))
 
 
-def edges(groups: DataFrame, num: int, den: int, lex: Lexicon = DEFAULT) -> DataFrame:
+#: A part of a threshold: one number, or one a batch.
+ByBatch = int | dict[str, int]
+
+
+def of_batch(part: ByBatch) -> int | Column:
+    """``part`` as similarity joins take it."""
+    return part if isinstance(part, int) else F.coalesce(*(F.when(F.col("batch") == b, n) for b, n in part.items()))
+
+
+def edges(groups: DataFrame, num: ByBatch, den: ByBatch, lex: Lexicon = DEFAULT) -> DataFrame:
     """tool, batch, i, j (earlier), score: every mergeable pair."""
     side = groups.select(*SCOPE, F.col("group_rank").alias("id"), "key")
-    pairs = similar_pairs(side, side, SCOPE, num, den, F.col("r_id") < F.col("l_id"))
+    pairs = similar_pairs(side, side, SCOPE, of_batch(num), of_batch(den), F.col("r_id") < F.col("l_id"))
     verbs = groups.select(*SCOPE, "group_rank", "lead")
     l = verbs.select(*SCOPE, F.col("group_rank").alias("l_id"), F.col("lead").alias("l_lead"))  # noqa: E741
     r = verbs.select(*SCOPE, F.col("group_rank").alias("r_id"), F.col("lead").alias("r_lead"))
@@ -45,33 +64,90 @@ def edges(groups: DataFrame, num: int, den: int, lex: Lexicon = DEFAULT) -> Data
     )
 
 
-def iterated(groups: DataFrame, num: int, den: int, lex: Lexicon = DEFAULT) -> DataFrame:
-    """tool, batch, group_rank, leader_rank by rounds over the similarity graph."""
-    near = stored(edges(groups, num, den, lex), "cluster-edges")
-    # Only keys with an earlier neighbour are in doubt.
-    doubt = near.select(*SCOPE, F.col("i").alias("id")).distinct()
-    state = stored(doubt.withColumn("leads", F.lit(None).cast("boolean")), "cluster-state")
-    while True:
-        of_j = state.select(*SCOPE, F.col("id").alias("j"), "leads", F.lit(True).alias("known"))
-        seen = near.join(of_j, [*SCOPE, "j"], "left").withColumn("leads", F.when(F.col("known"), F.col("leads")).otherwise(True))
-        vote = seen.groupBy(*SCOPE, F.col("i").alias("id")).agg(F.coalesce(F.bool_or("leads"), F.lit(False)).alias("some"), F.bool_and(F.coalesce(~F.col("leads"), F.lit(False))).alias("none"))
-        fresh = state.join(vote, [*SCOPE, "id"]).select(*SCOPE, "id", F.coalesce("leads", F.when(F.col("some"), False).when(F.col("none"), True)).alias("leads"))
-        before, state = state, stored(fresh, "cluster-state")
-        discard(before)
-        if state.where("leads is null").isEmpty():
+def _without(links: DataFrame, followers: DataFrame) -> DataFrame:
+    """``links`` (i, j) between keys that don't follow."""
+    gone = followers.select(*SCOPE, F.col("id").alias("i"))
+    return links.join(gone, [*SCOPE, "i"], "left_anti").join(gone.withColumnRenamed("i", "j"), [*SCOPE, "j"], "left_anti")
+
+
+def _settled_at_once(links: DataFrame) -> DataFrame:
+    """scope..., id of the keys that follow one without earlier neighbours."""
+    leaders = links.select(*SCOPE, "j").join(links.select(*SCOPE, F.col("i").alias("j")), [*SCOPE, "j"], "left_anti").distinct()
+    return links.join(leaders, [*SCOPE, "j"], "left_semi").select(*SCOPE, F.col("i").alias("id")).distinct()
+
+
+def _scanned(links: DataFrame) -> DataFrame:
+    """scope..., id of the followers that a scan of ``links`` (earlier ones first) finds. A task keeps the followers of one scope; links stream by."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scope, follows = None, set()
+        for batch in batches:
+            out = []
+            for *here, i, j in zip(*(c.to_pylist() for c in batch.columns)):
+                if here != scope:
+                    scope, follows = here, set()
+                if i not in follows and j not in follows:
+                    follows.add(i)
+                    out.append((*here, i))
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], t) for n, t in enumerate((pa.string(), pa.string(), pa.int64()))], [*SCOPE, "id"])
+
+    ship(links.sparkSession)
+    rows = links.select(*SCOPE, F.col("i").cast("long"), F.col("j").cast("long")).repartition(*SCOPE).sortWithinPartitions(*SCOPE, "i", "j")
+    return rows.mapInArrow(scan, "tool string, batch string, id long")
+
+
+def _blocked(links: DataFrame, block: int) -> tuple[DataFrame, int]:
+    """``links`` with block_i and block_j (blocks of ``block`` linked keys by rank), and the number of blocks."""
+    nodes = links.select(*SCOPE, F.col("i").alias("id")).union(links.select(*SCOPE, "j")).distinct()
+    placed = numbered(nodes, SCOPE, [F.col("id").alias("o1")], "place")
+    placed = stored(placed.select(*SCOPE, "id", F.floor((F.col("place") - 1) / block).cast("int").alias("block")), "cluster-blocks")
+    for side in ("i", "j"):
+        links = links.join(placed.withColumnsRenamed({"id": side, "block": f"block_{side}"}), [*SCOPE, side])
+    return stored(links, "cluster-links"), (placed.agg(F.max("block")).first()[0] or 0) + 1
+
+
+def followers(near: DataFrame, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
+    """scope..., id of the keys that follow, from the graph's edges (i, earlier j)."""
+    found, links = [], near.select(*SCOPE, "i", "j")
+
+    def settle(fresh: DataFrame, rest: DataFrame, links: DataFrame) -> DataFrame:
+        found.append(stored(fresh, "cluster-followers"))
+        left = stored(_without(rest, found[-1]), "cluster-links")
+        if links is not near:
+            discard(links)
+        return left
+
+    links = settle(_settled_at_once(links), links, near)
+    for _ in range(rounds - 1):
+        if links.isEmpty():
             break
-    followers = state.where("not leads").select(*SCOPE, F.col("id").alias("i"))
-    leads = state.where("not leads").select(*SCOPE, F.col("id").alias("j"))
+        links = settle(_settled_at_once(links), links, links)
+    if not links.isEmpty():
+        links, n = _blocked(links, block)
+        for k in range(n):
+            # Earlier blocks are settled: what is left of this one depends on its inner links alone.
+            inner = stored(_scanned(links.where((F.col("block_i") == k) & (F.col("block_j") == k))), "cluster-scanned")
+            lead = links.where((F.col("block_j") == k) & (F.col("block_i") > k)).join(inner.withColumnRenamed("id", "j"), [*SCOPE, "j"], "left_anti")
+            fresh = inner.unionByName(lead.select(*SCOPE, F.col("i").alias("id")).distinct())
+            links = settle(fresh, links.where(F.col("block_j") > k), links)
+            discard(inner)
+    return reduce(DataFrame.unionByName, found)
+
+
+def iterated(groups: DataFrame, num: ByBatch, den: ByBatch, lex: Lexicon = DEFAULT, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
+    """tool, batch, group_rank, leader_rank by joins over the similarity graph."""
+    near = stored(edges(groups, num, den, lex), "cluster-edges")
+    follow = stored(followers(near, rounds, block), "cluster-followers")
     best = (
-        near.join(followers, [*SCOPE, "i"], "left_semi")
-        .join(leads, [*SCOPE, "j"], "left_anti")
+        near.join(follow.withColumnRenamed("id", "i"), [*SCOPE, "i"], "left_semi")
+        .join(follow.withColumnRenamed("id", "j"), [*SCOPE, "j"], "left_anti")
         .groupBy(*SCOPE, F.col("i").alias("group_rank"))
         .agg((-F.max(F.struct("score", (-F.col("j")).alias("j")))["j"]).alias("leader_rank"))
     )
     return groups.join(best, [*SCOPE, "group_rank"], "left").select(*SCOPE, "group_rank", F.coalesce("leader_rank", "group_rank").alias("leader_rank"))
 
 
-def local(groups: DataFrame, num: int, den: int, lex: Lexicon = DEFAULT) -> DataFrame:
+def local(groups: DataFrame, num: ByBatch, den: ByBatch, lex: Lexicon = DEFAULT) -> DataFrame:
     """tool, batch, group_rank, leader_rank by one scan a partition, with an inverted index of leaders."""
     opposites = {frozenset(p) for p in lex.never_merge}
 
@@ -79,6 +155,7 @@ def local(groups: DataFrame, num: int, den: int, lex: Lexicon = DEFAULT) -> Data
         import pandas as pd
 
         pdf = pdf.sort_values("group_rank")
+        least, whole = (n if isinstance(n, int) else n[pdf.batch.iloc[0]] for n in (num, den))
         by_word: dict[str, list[int]] = {}
         leaders: list[tuple[int, int, str | None]] = []  # rank, size, lead verb
         out = []
@@ -91,7 +168,7 @@ def local(groups: DataFrame, num: int, den: int, lex: Lexicon = DEFAULT) -> Data
             for n, inter in shared.items():
                 r, size, verb = leaders[n]
                 uni = len(key) + size - inter
-                if den * inter >= num * uni and not (lead and verb and frozenset((lead, verb)) in opposites):
+                if whole * inter >= least * uni and not (lead and verb and frozenset((lead, verb)) in opposites):
                     found = (inter / uni, -r)
                     best = found if best is None or found > best else best
             if best is None:
@@ -106,7 +183,7 @@ def local(groups: DataFrame, num: int, den: int, lex: Lexicon = DEFAULT) -> Data
     return groups.select(*SCOPE, "group_rank", "key", "lead").groupBy(*SCOPE).applyInPandas(scan, "tool string, batch string, group_rank long, leader_rank long")
 
 
-def leader_clusters(groups: DataFrame, num: int, den: int, lex: Lexicon = DEFAULT, max_local: int = MAX_LOCAL) -> DataFrame:
+def leader_clusters(groups: DataFrame, num: ByBatch, den: ByBatch, lex: Lexicon = DEFAULT, max_local: int = MAX_LOCAL) -> DataFrame:
     """tool, batch, group_rank, leader_rank. ``groups`` has tool, batch, group_rank, key, lead."""
     sizes = groups.groupBy(*SCOPE).agg(F.count("*").alias("size"))
     large = sizes.where(F.col("size") > max_local).select(*SCOPE)

@@ -99,38 +99,45 @@ def shown_variants(members: DataFrame, by: list[str], order: list[str], shown: i
     return first.groupBy(*by).agg(first_variants(F.col("keyword"), *map(F.col, order), shown=shown).alias("all_variants"))
 
 
-def cluster_rows(rows: DataFrame, groups: DataFrame, clusters: DataFrame, index: DataFrame, minimum: int) -> DataFrame:
+def led(groups: DataFrame, clusters: DataFrame, index: DataFrame) -> DataFrame:
+    """One row a cluster: tool, batch, leader_rank, n_groups, size (keywords), covered (whether a title covers its leader's key)."""
+    of_group = groups.join(clusters, [*SCOPE, "group_rank"])
+    heads = of_group.where("group_rank = leader_rank").select(*SCOPE, "leader_rank", "key_str", "key")
+    found = covered(heads, index).withColumn("covered", F.lit(True))
+    marked = heads.join(found, "key_str", "left").select(*SCOPE, "leader_rank", F.coalesce("covered", F.lit(False)).alias("covered"))
+    sizes = of_group.groupBy(*SCOPE, "leader_rank").agg(F.count("*").alias("n_groups"), F.sum("n").alias("size"))
+    return sizes.join(marked, [*SCOPE, "leader_rank"])
+
+
+def qualifying(leaders: DataFrame, minimum: Column) -> DataFrame:
+    """Leaders of clusters that are large enough and not covered."""
+    return leaders.where((F.col("size") >= minimum) & ~F.col("covered"))
+
+
+def cluster_rows(rows: DataFrame, groups: DataFrame, clusters: DataFrame, kept: DataFrame) -> DataFrame:
     """One row a surviving cluster: tool, batch, leader_rank, n, canonical_keyword, all_variants.
 
-    Coverage is asked of the leader's key; size is known from groups, so members of clusters that go
-    are never gathered. Variants: at most ``SHOWN`` members a cluster are collected.
+    Sizes and coverage are known from ``kept``, so members of clusters that go are never gathered.
+    Variants: at most ``SHOWN`` members a cluster are collected.
     """
-    of_group = groups.join(clusters, [*SCOPE, "group_rank"]).select(*SCOPE, "group_rank", "key_str", "n", "leader_rank")
-    leaders = groups.select(*SCOPE, F.col("group_rank").alias("leader_rank"), "key_str", "key")
-    open_leaders = uncovered(leaders, index).select(*SCOPE, "leader_rank")
-    large = of_group.groupBy(*SCOPE, "leader_rank").agg(F.sum("n").alias("size")).where(F.col("size") >= minimum)
-    kept = large.join(open_leaders, [*SCOPE, "leader_rank"], "left_semi")
-    members = rows.join(of_group.join(kept, [*SCOPE, "leader_rank"]), [*SCOPE, "key_str"]).select(*SCOPE, "leader_rank", "group_rank", "pos", "keyword", "size")
+    of_group = groups.join(clusters, [*SCOPE, "group_rank"]).select(*SCOPE, "group_rank", "key_str", "leader_rank")
+    wanted = of_group.join(kept.select(*SCOPE, "leader_rank", "size"), [*SCOPE, "leader_rank"])
+    members = rows.join(wanted, [*SCOPE, "key_str"]).select(*SCOPE, "leader_rank", "group_rank", "pos", "keyword", "size")
     at = [F.col("group_rank"), F.col("pos")]
     shown = shown_variants(members, [*SCOPE, "leader_rank"], ["group_rank", "pos"])
     best = members.groupBy(*SCOPE, "leader_rank").agg(F.max("size").alias("n"), canonical(F.col("keyword"), *at).alias("canonical_keyword"))
     return best.join(shown, [*SCOPE, "leader_rank"])
 
 
-def standard_results(c: DataFrame) -> DataFrame:
-    return _results(c, X.signal(F.col("n")), F.lit("volume_10+"), F.lit(""))
-
-
-def low_results(c: DataFrame) -> DataFrame:
-    return _results(c, F.lit("frequency"), F.lit("frequency_matched"), F.col("n").cast("string"))
-
-
-def _results(c: DataFrame, signal: Column, source: Column, frequency: Column) -> DataFrame:
+def results(c: DataFrame) -> DataFrame:
+    """Report rows of clusters; strength, source and frequency are a batch's own."""
+    standard = F.col("batch") == "standard"
     return c.select(
         "tool", "batch", "leader_rank", "canonical_keyword",
         X.category(F.col("canonical_keyword")).alias("category"),
-        F.col("n").alias("variant_count"), signal.alias("signal_strength"), source.alias("source"),
-        frequency.alias("frequency_count"), "all_variants",
+        F.col("n").alias("variant_count"), F.when(standard, X.signal(F.col("n"))).otherwise("frequency").alias("signal_strength"),
+        F.when(standard, "volume_10+").otherwise("frequency_matched").alias("source"),
+        F.when(standard, "").otherwise(F.col("n").cast("string")).alias("frequency_count"), "all_variants",
     )
 
 

@@ -1,8 +1,11 @@
-"""Set-similarity joins over token arrays: Jaccard with a prefix filter.
+"""Set-similarity joins over token arrays: Jaccard with prefix and position filters.
 
 Two sets with Jaccard >= num/den share a token among the first |k| - ceil(|k| num/den) + 1 tokens of
 either, if tokens are ordered by one global order (here rarest first, ties by token). Joining
-those prefixes by equality finds every candidate; sizes and exact integer comparison do the rest.
+those prefixes by equality finds every candidate. A pair that shares several prefix tokens counts where the
+first of them meet, so no pair has to be deduplicated; from the two places of that token follows how
+large the overlap can still become (Xiao, Wang, Lin and Yu, "Efficient similarity joins for near
+duplicate detection", WWW 2008). Only what passes is compared whole, in integers.
 """
 
 from __future__ import annotations
@@ -10,57 +13,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A part of a threshold: a number, or a Column over the scope's columns.
+Part = int | Column
+
 
 def overlap(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """0 if either is empty."""
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(overlap(a, b) / F.size(F.array_union(a, b)))
-
-
 def at_least(a: Column, b: Column, num: int, den: int) -> Column:
     """Jaccard(a, b) >= num/den in integers; false if either is empty."""
     i = overlap(a, b)
     return (i > 0) & (den * i >= num * (F.size(a) + F.size(b) - i))
 
 
-def prefixes(df: DataFrame, key: str, scope: list[str], num: int, den: int, order: DataFrame) -> DataFrame:
-    """``df`` exploded to its prefix tokens (column ``token``). ``order``: scope..., token, freq."""
+def prefixes(df: DataFrame, key: str, scope: list[str], num: Part, den: Part, order: DataFrame) -> DataFrame:
+    """``df`` exploded to its prefix tokens: columns token, pos (from 0) and prefix (all of them, in order). ``order``: scope..., token, freq."""
     rid = [c for c in df.columns if c != key]
     words = df.select("*", F.explode(key).alias("token")).join(order, [*scope, "token"], "left")
     ranked = words.groupBy(*rid, key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "token"))).alias("_t"))
-    need = F.size(key) - F.ceil(F.size(key) * F.lit(num) / F.lit(den)).cast("int") + 1
-    return ranked.select(*rid, key, F.explode(F.slice("_t", F.lit(1), need)).alias("_e")).select(*rid, key, F.col("_e.token").alias("token"))
+    need = F.size(key) - F.ceil(F.size(key) * num / den).cast("int") + 1
+    return ranked.withColumn("prefix", F.slice("_t.token", F.lit(1), need)).select(*rid, key, "prefix", F.posexplode("prefix").alias("pos", "token"))
 
 
 def frequencies(df: DataFrame, key: str, scope: list[str]) -> DataFrame:
     return df.select(*scope, F.explode(key).alias("token")).groupBy(*scope, "token").agg(F.count("*").alias("freq"))
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, scope: list[str], num: int, den: int, extra: Column | None = None) -> DataFrame:
-    """Pairs with Jaccard >= num/den: scope..., l_id, r_id, inter, uni.
-
-    Both sides have scope..., ``id`` and ``key``. ``extra`` is a further condition over l_id, l_key, r_id, r_key.
-    """
+def candidates(left: DataFrame, right: DataFrame, scope: list[str], num: Part, den: Part, extra: Column | None = None) -> DataFrame:
+    """scope..., l_id, l_key, r_id, r_key: each pair that the filters leave, once."""
     order = frequencies(left.select(*scope, "key").unionByName(right.select(*scope, "key")), "key", scope)
-    a = prefixes(left.select(*scope, F.col("id").alias("l_id"), F.col("key").alias("l_key")), "l_key", scope, num, den, order)
-    b = prefixes(right.select(*scope, F.col("id").alias("r_id"), F.col("key").alias("r_key")), "r_key", scope, num, den, order)
-    sizes = (den * F.size("l_key") >= num * F.size("r_key")) & (den * F.size("r_key") >= num * F.size("l_key"))
-    found = a.join(b, [*scope, "token"]).where(sizes)
+    a, b = (
+        prefixes(df.select(*scope, F.col("id").alias(f"{s}_id"), F.col("key").alias(f"{s}_key")), f"{s}_key", scope, num, den, order).withColumnsRenamed({"prefix": f"{s}_prefix", "pos": f"{s}_pos"})
+        for df, s in ((left, "l"), (right, "r"))
+    )
+    n_l, n_r = F.size("l_key"), F.size("r_key")
+    sizes = (den * n_l >= num * n_r) & (den * n_r >= num * n_l)
+    most = F.least(n_l - F.col("l_pos"), n_r - F.col("r_pos"))
+    room = (num + den) * most >= num * (n_l + n_r)
+    first = F.get(F.array_intersect("l_prefix", "r_prefix"), F.lit(0)) == F.col("token")
+    found = a.join(b, [*scope, "token"]).where(sizes & room)
     if extra is not None:
         found = found.where(extra)
-    inter = overlap(F.col("l_key"), F.col("r_key"))
+    return found.where(first).select(*scope, "l_id", "l_key", "r_id", "r_key")
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, scope: list[str], num: Part, den: Part, extra: Column | None = None) -> DataFrame:
+    """Pairs with Jaccard >= num/den: scope..., l_id, r_id, inter, uni.
+
+    Both sides have scope..., ``id`` and ``key``; an id has one key. ``extra`` is a further condition over l_id, l_key, r_id, r_key.
+    """
     return (
-        found.withColumn("inter", inter)
+        candidates(left, right, scope, num, den, extra)
+        .withColumn("inter", overlap(F.col("l_key"), F.col("r_key")))
         .withColumn("uni", F.size("l_key") + F.size("r_key") - F.col("inter"))
         .where(den * F.col("inter") >= num * F.col("uni"))
         .select(*scope, "l_id", "r_id", "inter", "uni")
-        .distinct()
     )
 
 
-def similar_ids(left: DataFrame, right: DataFrame, scope: list[str], num: int, den: int) -> DataFrame:
+def similar_ids(left: DataFrame, right: DataFrame, scope: list[str], num: Part, den: Part) -> DataFrame:
     """scope..., id of left rows with a similar right row (a semi join on ids)."""
     return similar_pairs(left, right, scope, num, den).select(*scope, F.col("l_id").alias("id")).distinct()

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lexicon import DEFAULT, Lexicon
 from ..operators import cluster as C
 from ..operators import consolidate as O
-from .storage import stored
+from .storage import Scope, stored
 
 
 @dataclass(frozen=True)
@@ -27,81 +29,84 @@ class Settings:
 class Consolidation:
     """Named steps from ``keywords(tool, batch, pos, keyword)`` and ``titles(title_pos, title)``.
 
-    Grouped keys are stored, since grouping feeds clustering, coverage and the members' join.
+    Both batches go through one plan; thresholds and least sizes depend on the batch column. Steps that several others read
+    are stored once. ``close`` (or the end of a ``with`` block) deletes all that the job has stored, so results must be
+    written, or collected, before.
     """
 
     def __init__(self, keywords: DataFrame, titles: DataFrame, settings: Settings | None = None):
         self.keywords, self.titles, self.s = keywords, titles, settings or Settings()
-        self._relevant: DataFrame | None = None
-        self._rows: DataFrame | None = None
-        self._groups: DataFrame | None = None
-        self._index: DataFrame | None = None
-        self._clusters: dict[str, DataFrame] = {}
-        self._results: DataFrame | None = None
+        self.scope = Scope(keywords.sparkSession)
+        self._made: dict[str, DataFrame] = {}
+
+    def __enter__(self) -> Consolidation:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        self._made.clear()
+        self.scope.close()
+
+    def _once(self, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if label not in self._made:
+            with self.scope.open():
+                self._made[label] = stored(make(), label)
+        return self._made[label]
+
+    def _by_batch(self, standard: int, low: int) -> dict[str, int]:
+        return {"standard": standard, "low_volume": low}
 
     def relevant(self) -> DataFrame:
         """Stored, since keys are made of the distinct keywords and joined back: the source is read once."""
-        if self._relevant is None:
-            self._relevant = stored(O.relevant(self.keywords), "relevant")
-        return self._relevant
+        return self._once("relevant", lambda: O.relevant(self.keywords))
 
     def rows(self) -> DataFrame:
         """Relevant keywords with their keys."""
-        if self._rows is None:
-            self._rows = stored(O.keyed(self.relevant(), self.s.lexicon), "keyed")
-        return self._rows
+        return self._once("keyed", lambda: O.keyed(self.relevant(), self.s.lexicon))
 
     def groups(self) -> DataFrame:
-        if self._groups is None:
-            self._groups = stored(O.intent_groups(self.rows(), self.s.lexicon), "groups")
-        return self._groups
+        return self._once("groups", lambda: O.intent_groups(self.rows(), self.s.lexicon))
 
     def index(self) -> DataFrame:
-        if self._index is None:
-            self._index = stored(O.title_index(self.titles, self.s.lexicon), "title-index")
-        return self._index
-
-    def _of(self, df: DataFrame, batch: str) -> DataFrame:
-        return df.where(F.col("batch") == batch)
-
-    def clusters(self, batch: str) -> DataFrame:
-        """Stored: results and the report both read them."""
-        if batch not in self._clusters:
-            num, den = self.s.std_threshold if batch == "standard" else self.s.low_threshold
-            found = C.leader_clusters(self._of(self.groups(), batch), num, den, self.s.lexicon, self.s.max_local)
-            self._clusters[batch] = stored(found, f"clusters-{batch}")
-        return self._clusters[batch]
-
-    def results(self, batch: str) -> DataFrame:
-        minimum = self.s.min_std if batch == "standard" else self.s.min_freq
-        found = O.cluster_rows(self._of(self.rows(), batch), self._of(self.groups(), batch), self.clusters(batch), self.index(), minimum)
-        return O.standard_results(found) if batch == "standard" else O.low_results(found)
-
-    def every_result(self) -> DataFrame:
-        if self._results is None:
-            self._results = stored(self.results("standard").unionByName(self.results("low_volume")), "results")
-        return self._results
+        return self._once("title-index", lambda: O.title_index(self.titles, self.s.lexicon))
+
+    def clusters(self) -> DataFrame:
+        (a, b), (c, d) = self.s.std_threshold, self.s.low_threshold
+        return self._once("clusters", lambda: C.leader_clusters(self.groups(), self._by_batch(a, c), self._by_batch(b, d), self.s.lexicon, self.s.max_local))
+
+    def leaders(self) -> DataFrame:
+        """One row a cluster, with its size and whether a title covers it."""
+        return self._once("leaders", lambda: O.led(self.groups(), self.clusters(), self.index()))
+
+    def results(self) -> DataFrame:
+        def made() -> DataFrame:
+            minimum = C.of_batch(self._by_batch(self.s.min_std, self.s.min_freq))
+            return O.results(O.cluster_rows(self.rows(), self.groups(), self.clusters(), O.qualifying(self.leaders(), minimum)))
+
+        return self._once("results", made)
 
     def combined(self) -> DataFrame:
-        return O.cross_dedup(self.every_result(), self.s.lexicon)
+        return self._once("combined", lambda: O.cross_dedup(self.results(), self.s.lexicon))
 
     def final(self) -> DataFrame:
-        ranked = O.ranked(self.combined())
+        with self.scope.open():
+            ranked = O.ranked(self.combined())
         return ranked.withColumn("suggested_title", X.suggested_title(F.col("canonical_keyword"), F.col("tool")))
 
     def stage_counts(self) -> DataFrame:
-        """tool, batch, stage, n: the run report as a table. ``covered`` are clusters that a title covers, ``results`` those that qualify."""
-
-        def count(df: DataFrame, stage: str) -> DataFrame:
-            return df.groupBy("tool", "batch").agg(F.count("*").alias("n")).select("tool", "batch", F.lit(stage).alias("stage"), "n")
-
-        out = count(self.keywords, "raw").unionByName(count(self.relevant(), "relevant")).unionByName(count(self.groups(), "groups"))
-        for batch in ("standard", "low_volume"):
-            heads = self.clusters(batch).where("group_rank = leader_rank")
-            led = self.groups().join(heads.select("tool", "batch", "group_rank"), ["tool", "batch", "group_rank"], "left_semi")
-            covered = led.join(O.covered(led, self.index()), "key_str", "left_semi")
-            out = out.unionByName(count(heads, "clusters")).unionByName(count(covered, "covered"))
-        return out.unionByName(count(self.every_result(), "results")).unionByName(count(self.combined(), "kept"))
+        """tool, batch, stage, n: the run report as a table, from what is stored. ``covered`` are clusters that a title covers, ``results`` those that qualify."""
+
+        def count(df: DataFrame, *stages: tuple[str, Column]) -> DataFrame:
+            """A row a stage that has any."""
+            named = F.array(*(F.struct(F.lit(s).alias("stage"), n.alias("n")) for s, n in stages))
+            return df.groupBy("tool", "batch").agg(named.alias("_s")).select("tool", "batch", F.inline("_s")).where("n > 0")
+
+        every = F.count("*")
+        steps = [(self.keywords, ("raw", every)), (self.relevant(), ("relevant", every)), (self.groups(), ("groups", every))]
+        steps += [(self.leaders(), ("clusters", every), ("covered", F.count_if("covered"))), (self.results(), ("results", every)), (self.combined(), ("kept", every))]
+        return reduce(DataFrame.unionByName, (count(*s) for s in steps))
 
     def title_counts(self) -> DataFrame:
         """stage, n: published titles and the distinct keys they have."""

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from . import cli
 from .functions import text as X
+from .functions.lexicon import CELL_PREFIXES
 from .operators import cluster as C
 from .operators import consolidate as O
 from .operators.setsim import similar_pairs
 from .plans.consolidation import Consolidation
-from .plans.storage import put, shared_path
+from .plans.ship import ship
+from .plans.storage import shared_path
 from .sources import keywords as K
+from .sources.files import located, put_file
 from .sources.sinks import COLUMNS, read_results, write_results
 from .sources.workbook_writer import workbook
 from .sources.xlsx import read_cells
@@ -45,8 +48,9 @@ FROM (
 
 TITLES = """
 SELECT p_partkey AS title_pos,
-  CASE CAST(p_partkey % 2 AS INT)
-    WHEN 0 THEN concat('How to Add a ', split_part(p_name, ' ', 1), ' ', split_part(p_name, ' ', 2), '?')
+  CASE CAST(p_partkey % 4 AS INT)
+    WHEN 0 THEN concat('How to Remove ', split_part(p_name, ' ', 1), ' ', split_part(p_name, ' ', 2), ' Story ', p_brand)
+    WHEN 2 THEN concat('How to Add a ', split_part(p_name, ' ', 1), ' ', split_part(p_name, ' ', 2), '?')
     ELSE concat('How do I Delete ', split_part(p_name, ' ', 1), ' ', split_part(p_name, ' ', 2), 's in ', p_type) END AS title
 FROM part
 """
@@ -57,7 +61,8 @@ SELECT CAST(dense_rank() OVER (ORDER BY tool, batch DESC) AS INT) AS sheet_idx,
   CASE WHEN pos % 97 = 0 THEN 'Clean' WHEN batch = 'standard' THEN concat(' ', tool, ' - 10+ (old)') ELSE concat(lower(tool), ' - below 10') END AS sheet,
   CAST(pos AS INT) AS row_idx, CAST(pos % 3 AS INT) AS col_idx,
   CASE CAST(pos % 13 AS INT) WHEN 0 THEN 'Keyword' WHEN 1 THEN '12.5' WHEN 2 THEN '**bold**' WHEN 3 THEN '=A1+B1' WHEN 4 THEN '<loc>x'
-    WHEN 5 THEN 'ab' WHEN 6 THEN 'a/b/c/d/e' WHEN 7 THEN NULL ELSE concat('  ', keyword) END AS value
+    WHEN 5 THEN 'ab' WHEN 6 THEN 'a/b/c/d/e' WHEN 7 THEN NULL WHEN 8 THEN concat('{CELL_PREFIXES[0]}=', keyword) WHEN 9 THEN concat('python3 ', keyword)
+    WHEN 10 THEN concat(keyword, repeat(' long', 40)) ELSE concat('  ', keyword) END AS value
 FROM ({KEYWORDS}) k
 """
 
@@ -108,14 +113,28 @@ def corpus_scan(spark, d):
     return keywords(spark, d)
 
 
-def book_file(spark: SparkSession, made: DataFrame, label: str) -> str:
-    """A workbook of cells (sheet_idx from 1 or 9, sheet, row_idx, col_idx, value); a tab's name is its first cell's."""
-    tabs: dict[int, tuple[str, list]] = {}
-    for r in made.where("value is not null").orderBy("sheet_idx", "row_idx", "col_idx").toLocalIterator():
-        tabs.setdefault(r.sheet_idx, (r.sheet, []))[1].append((r.row_idx, r.col_idx, r.value))
-    path = shared_path(spark, label) + ".xlsx"
-    put(spark, path, workbook(tabs.values()))
-    return path
+def book_files(spark: SparkSession, made: DataFrame, label: str) -> str:
+    """Workbooks of cells (book, sheet_idx from 1 or 9, sheet, row_idx, col_idx, value), each written by a task of its own.
+
+    Every workbook has all tabs in their order (some may be empty); a tab's name is its first cell's. Gives a pattern of their names.
+    """
+    at = F.struct("row_idx", "col_idx")
+    tabs = [(r.sheet_idx, r.sheet) for r in made.groupBy("sheet_idx").agg(F.min_by("sheet", at).alias("sheet")).orderBy("sheet_idx").collect()]  # a row a tab
+    folder = shared_path(spark, label)
+
+    def write(key: tuple, pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values(["row_idx", "col_idx"])
+        of = {i: list(zip(p.row_idx, p.col_idx, p.value)) for i, p in pdf.groupby("sheet_idx")}
+        store, place = located(folder)
+        put_file(store, f"{place}/{key[0]:08d}.xlsx", [workbook([(name, of.get(i, [])) for i, name in tabs])])
+        return pd.DataFrame({"book": [key[0]]})
+
+    ship(spark)
+    cells = made.where("value is not null").select(F.col("book").cast("long"), "sheet_idx", "row_idx", "col_idx", "value")
+    cells.groupBy("book").applyInPandas(write, "book long").write.format("noop").mode("overwrite").save()
+    return f"{folder}/*.xlsx"
 
 
 def titles_file(spark: SparkSession, d: str) -> str:
@@ -126,9 +145,9 @@ def titles_file(spark: SparkSession, d: str) -> str:
 
 @query
 def workbook_cells(spark, d):
-    """Cells of a workbook that was written first; tabs are numbered in its order."""
-    made = cells(spark, d).withColumn("sheet", F.concat(F.lit("tab "), "sheet_idx"))
-    return read_cells(spark, book_file(spark, made, "book")).select("sheet_idx", "sheet", "row_idx", "col_idx", "value")
+    """Cells of workbooks (5,000 rows each) that were written first; tabs are numbered in their order."""
+    made = cells(spark, d).withColumn("sheet", F.concat(F.lit("tab "), "sheet_idx")).withColumn("book", F.floor(F.col("row_idx") / 5000))
+    return read_cells(spark, book_files(spark, made, "book")).select("sheet_idx", "sheet", "row_idx", "col_idx", "value")
 
 
 @query
@@ -138,8 +157,9 @@ def titles_csv(spark, d):
 
 @query
 def mix_second_pass(spark, d):
-    """Ordinary tabs of a workbook, then its mixed tab once more with a tool a column."""
-    return K.all_keywords(read_cells(spark, book_file(spark, mix_cells(spark, d), "mix"))).select("tool", "batch", "keyword")
+    """Ordinary tabs of workbooks (one a tool, which has one or two columns), then their mixed tab once more with a tool a column."""
+    made = mix_cells(spark, d).withColumn("book", F.col("col_idx") % 100)
+    return K.all_keywords(read_cells(spark, book_files(spark, made, "mix"))).select("tool", "batch", "keyword")
 
 
 @query
@@ -152,13 +172,14 @@ def csv_sink(spark, d):
 
 @query
 def cli_run(spark, d):
-    """The command line's run: a workbook and a titles file in, report files out and read back."""
+    """The command line's run: workbooks (one a tool) and a titles file in, report files out and read back."""
     made = keywords(spark, d).selectExpr(
+        "dense_rank() over (order by tool) as book",
         "cast(dense_rank() over (order by tool, batch desc) as int) as sheet_idx", "concat(tool, if(batch = 'standard', ' - 10+', ' - below 10')) as sheet",
         "cast(pos as int) as row_idx", "0 as col_idx", "keyword as value",
     )
     out = shared_path(spark, "output")
-    cli.run(spark, cli.arguments(["--xlsx", book_file(spark, made, "book"), "--cms", titles_file(spark, d), "-o", out]))
+    cli.run(spark, cli.arguments(["--xlsx", book_files(spark, made, "book"), "--cms", titles_file(spark, d), "-o", out]))
     return read_results(spark, out).select("tool_file", *COLUMNS)
 
 
@@ -288,12 +309,12 @@ def never_merge_guard(spark, d):
 
 @query
 def leader_cluster_std(spark, d):
-    return job(spark, d).clusters("standard")
+    return job(spark, d).clusters().where("batch = 'standard'")
 
 
 @query
 def leader_cluster_low(spark, d):
-    return job(spark, d).clusters("low_volume")
+    return job(spark, d).clusters().where("batch = 'low_volume'")
 
 
 @query
@@ -342,12 +363,12 @@ def variants_top15(spark, d):
 
 @query
 def std_results(spark, d):
-    return job(spark, d).results("standard")
+    return job(spark, d).results().where("batch = 'standard'")
 
 
 @query
 def low_results(spark, d):
-    return job(spark, d).results("low_volume")
+    return job(spark, d).results().where("batch = 'low_volume'")
 
 
 @query
