@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.ship import ship
+from ..plans.storage import Scope, discard  # noqa: F401  for the operators and the pipeline
 from ..plans.storage import shared_path as shared_dir
+from ..plans.storage import stored as _stored
 
 #: Rows handed to Python at once; long texts make rows large, so batches are kept short.
 ARROW_ROWS = 1000
@@ -33,28 +35,9 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-#: Folders of intermediate tables that this process has made, oldest first.
-MADE: list[str] = []
-
-
-def discard(spark: SparkSession, since: int, keep: int = 0) -> None:
-    """Delete the intermediate tables made since ``MADE`` had ``since`` entries, but for the last ``keep``.
-
-    Only for tables that no DataFrame reads any more.
-    """
-    for path in MADE[since : len(MADE) - keep]:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    del MADE[since : len(MADE) - keep]
-
-
-def stored(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written to the shared folder and read again: a lineage cut that survives lost executors."""
-    spark = df.sparkSession
-    path = shared_dir(spark, label)
-    MADE.append(path)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written compactly to the shared folder and read again: a lineage cut that survives lost executors."""
+    return _stored(df, label, "zstd")
 
 
 def shielded(docs: DataFrame, taken: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MADE, discard, shielded, split_text_key, stored, tune
+from .common import discard, shielded, split_text_key, stored, tune
 
 SHINGLE = 3
 RADIUS = 2
@@ -246,15 +246,15 @@ def components(edges: DataFrame) -> DataFrame:
     label of that label, so chains shorten by doubling. Ends when a round changes nothing.
     """
     both = stored(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "simhash-edges")
-    labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("fp"), "label"), "simhash-labels")
+    labels = table = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("fp"), "label"), "simhash-labels")
     while True:
-        before = len(MADE) - 1
         near = both.join(labels.withColumnRenamed("fp", "b"), "b").groupBy(F.col("a").alias("fp")).agg(F.min("label").alias("near"))
         step = labels.join(near, "fp").select("fp", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("fp").alias("next"), F.col("label").alias("far"))
         done = stored(step.join(jump, "next").select("fp", "label", F.least("next", "far").alias("next")), "simhash-labels")
         changed = not done.where("next <> label").isEmpty()
-        discard(done.sparkSession, before, keep=1)  # the labels before
+        discard(table)  # the labels before
+        table = done
         labels = done.select("fp", F.col("next").alias("label"))
         if not changed:
             return labels.withColumnRenamed("label", "root")
