@@ -1,8 +1,8 @@
 """The corpus pipeline: quality, near duplicates, decontamination, secrets, packing.
 
 Every stage takes the documents that its predecessor kept. ``run`` writes each stage's rows as
-Parquet in the session's shared folder, reads them again for the next and then deletes what
-the stages before it left there.
+Parquet in the session's shared folder, reads them again for the next and deletes what each stage
+made for itself; in the end only the last stage's rows are left.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from phrasemill.llm import decontaminate, minhash, packing, quality, secrets
-from phrasemill.llm.common import MADE, discard, stored, table
+from phrasemill.llm.common import Scope, discard, stored, table
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    before = len(MADE)
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-        discard(spark, before, keep=1)
-    return docs
+    docs, before = table(spark, sf_dir, "documents"), None
+    with Scope(spark) as whole:
+        for name, stage in STAGES:
+            with Scope(spark) as made:
+                docs = made.keep(stored(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+            if before is not None:
+                discard(before)
+            before = docs
+        return whole.keep(docs)
