@@ -94,9 +94,9 @@ def shown(spans: list[Span]) -> str:
 
 
 def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, n_linked, base_sha256, spans."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked."""
     tune(docs.sparkSession)
-    schema = "doc_id long, n_assign long, n_access long, n_hex long, n_linked long, base_sha256 string, spans string"
+    schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_linked long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,10 +104,10 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 base, every = find(text or "", scope)
                 n = [sum(k == i for _, k, _ in base) for i in range(3)]
-                rows.append((*n, len(every) - len(base), hashlib.sha256(shown(base).encode()).hexdigest(), shown(every)))
+                rows.append((*n, hashlib.sha256(shown(base).encode()).hexdigest(), shown(every), len(every) - len(base)))
             cols = list(zip(*rows)) or [()] * 6
-            types = [pa.int64()] * 4 + [pa.string()] * 2
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types))], ["doc_id", "n_assign", "n_access", "n_hex", "n_linked", "base_sha256", "spans"])
+            types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types))], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked"])
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, schema)
 
