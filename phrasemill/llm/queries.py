@@ -45,7 +45,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents")).drop("chunks")
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,16 +21,21 @@ state is a few tokens long, and words share them.
 There are too many states to build all ahead (README has counts), so arcs are compiled when first
 walked and kept; the library's merge model cuts the open end when an arc is compiled, never a text.
 
-Chunks. A text is read in chunks of ``chunk_chars``. A chunk's map takes every entry state to its exit
-state and count: after a white-space character that follows another character the state is the same
-whatever came before, so the map is the characters up to there (``head``), whose count depends on the
-entry state, and then one count and one exit state. A chunk without such a place is all head. Maps
-compose associatively and are combined by a prefix scan. Every text goes this way; one of a single
-chunk needs no composition.
+Chunks. A text is cut into chunks of about ``chunk_chars`` where a pre-token ends whatever came before it: before white space that
+follows another character, or (in stretches without white space) between letters, numbers and others. From such a place on
+every entry state does the same: it closes what it has open, and the chunk is read from the state between pre-tokens. So the
+map of a chunk over all entry states is two numbers, the tokens that it emits by itself and the tokens of what it leaves open,
+
+    (n, open) of entry state s = (final(s) + n, open);   (n, open) then (m, rest) = (n + open + m, rest),
+
+no text stays in a map, and maps compose associatively. The chunks of a batch's texts are mapped one by one and combined by a
+segmented prefix scan in log2 steps over arrays, which gives the tokens before each chunk too. A stretch of one kind of character
+(a megabyte of letters, say) can't be cut, so it is one chunk, walked in one task. Texts of more than
+``long_chars`` are cut first and their pieces dealt to tasks; the pieces' maps meet in an aggregate.
 
 Edge cases: null text counts as empty (0 bytes, 0 tokens); the string of an added token in a text is
 one token and separates what stands around it, as the library has it; repeated rows give repeated
-rows; texts of any length are read whole; an empty table gives no rows; other columns are ignored.
+rows; texts of any length are read whole, very long ones by several tasks; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,19 +46,26 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from .common import tokenizer_path, tune
 from .tokens import START, WHITE, byte_chars
 
-CHUNK_CHARS = 1 << 16
+#: Characters of a chunk (about), and of a text beyond which several tasks count it.
+CHUNK_CHARS, LONG_CHARS = 256, 1 << 22
 #: States kept by a worker (about 500 bytes each with their arcs); compiled anew beyond.
 MAX_STATES = 200_000
 BLANK = re.compile(f"[{WHITE}]")
 #: Fixed values of the pre-tokenizer: contractions after an apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
+CHUNKS = "array<struct<start:bigint,tokens:bigint>>"
+PIECES = pa.schema([*((c, pa.int64()) for c in ("row", "doc_id", "n_bytes", "place", "start", "added")), ("piece", pa.string())])
+
 Arc = tuple["State", int]
 
 
@@ -79,9 +91,10 @@ class State(dict):
 
 @dataclass(frozen=True, slots=True)
 class ChunkMap:
-    head: str
+    """What a chunk does after any entry state's own final count: tokens emitted, and tokens of what it leaves open."""
+
     count: int
-    exit: State | None
+    open: int
 
 
 class Transducer:
@@ -218,39 +231,80 @@ class Transducer:
             total += n
         return total, s
 
+    def cuts(self, text: str, chunk_chars: int) -> list[int]:
+        """Where chunks begin: 0 and, every ``chunk_chars`` or more, a place where a pre-token ends whatever came before."""
+        out, n = [0], len(text)
+        at = chunk_chars
+        while at < n:
+            found = START.search(text, at, min(n, at + chunk_chars))
+            place = found.start() if found else next((i for i in range(at, n) if self.parted(text[i - 1], text[i])), n)
+            if place >= n:
+                break
+            out.append(place)
+            at = place + chunk_chars
+        return out
+
+    def parted(self, a: str, b: str) -> bool:
+        """Whether a pre-token ends between two characters whatever came before. White space and apostrophes may go with what follows."""
+        k, following = self.class_of(a), self.class_of(b)
+        return k != "W" and (following == "W" or (k != following and a != "'"))
+
     def chunk_map(self, chunk: str) -> ChunkMap:
-        found = START.search(chunk)
-        if not found:
-            return ChunkMap(chunk, 0, None)
-        count, leave = self.walk(self.state("?", found[0]), chunk[found.end() :])
-        return ChunkMap(chunk[: found.end()], count, leave)
-
-    def apply(self, m: ChunkMap, s: State) -> tuple[int, State]:
-        """(tokens, exit state) of a chunk that is entered in state ``s``."""
-        n, leave = self.walk(s, m.head)
-        return (n, leave) if m.exit is None else (n + m.count, m.exit)
-
-    def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
+        n, s = self.walk(self.state("", ""), chunk)
+        return ChunkMap(n, s.final())
+
+    @staticmethod
+    def compose(a: ChunkMap, b: ChunkMap) -> ChunkMap:
         """First ``a``, then ``b``."""
-        if a.exit is None:
-            return ChunkMap(a.head + b.head, b.count, b.exit)
-        n, leave = self.apply(b, a.exit)
-        return ChunkMap(a.head, a.count + n, leave)
-
-    def scan(self, maps: list[ChunkMap]) -> ChunkMap:
-        """Combine by pairs; the order of the maps stays, their grouping is free."""
-        while len(maps) > 1:
-            paired = [self.compose(maps[i], maps[i + 1]) for i in range(0, len(maps) - 1, 2)]
-            maps = paired + maps[len(maps) - len(maps) % 2 :]
-        return maps[0] if maps else ChunkMap("", 0, None)
-
-    def finish(self, m: ChunkMap) -> int:
-        n, s = self.apply(m, self.state("", ""))
-        return n + s.final()
+        return ChunkMap(a.count + a.open + b.count, b.open)
+
+    def chunks(self, text: str, chunk_chars: int) -> list[tuple[int, str, int]]:
+        """(start, chunk, tokens before it) of a text; the string of an added token stands between chunks as one token."""
+        out, added, at = [], 0, 0
+        for found in [*self.added.finditer(text), None]:
+            part = text[at : found.start() if found else len(text)]
+            starts = self.cuts(part, chunk_chars)
+            for a, b in zip(starts, [*starts[1:], len(part)]):
+                out.append((at + a, part[a:b], added))
+                added = 0
+            if found:
+                at, added = found.end(), 1
+        return out
 
     def count(self, text: str, chunk_chars: int = CHUNK_CHARS) -> int:
-        parts = self.added.split(text)
-        return len(parts) - 1 + sum(self.finish(self.scan([self.chunk_map(p[i : i + chunk_chars]) for i in range(0, len(p), chunk_chars)])) for p in parts)
+        return int(self.counts([text], chunk_chars)[0][0])
+
+    def counts(self, texts: list[str], chunk_chars: int = CHUNK_CHARS) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """(tokens of each text, (starts of its chunks, tokens before each))."""
+        starts, emitted, left, size = [], [], [], []
+        for text in texts:
+            mine = self.chunks(text, chunk_chars)
+            size.append(len(mine))
+            for start, chunk, before in mine:
+                m = self.chunk_map(chunk)
+                starts.append(start)
+                emitted.append(m.count + before)
+                left.append(m.open)
+        size = np.array(size, np.int64)
+        ends = np.cumsum(size)
+        place = np.arange(len(starts)) - np.repeat(ends - size, size)
+        emitted, left = np.array(emitted, np.int64), np.array(left, np.int64)
+        through = prefix_scan(emitted, left, place)
+        cuts = [0, *ends.tolist()]
+        starts, before = np.array(starts, np.int64), through - emitted
+        return through[ends - 1] + left[ends - 1], [(starts[a:b], before[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def prefix_scan(count: np.ndarray, left: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The count of the composition of each chunk's map with those of all chunks before it in its text; ``place``: its number there.
+
+    In step k every place takes the composition of the 2^k maps before its own, so log2 steps do.
+    """
+    out, step = count.copy(), 1
+    while len(own := np.flatnonzero(place >= step)):
+        out[own] = out[own - step] + left[own - step] + out[own]
+        step *= 2
+    return out
 
 
 _TRANSDUCERS: dict[str, Transducer] = {}
@@ -266,16 +320,52 @@ def transducer(path: str) -> Transducer:
     return _TRANSDUCERS[path]
 
 
-def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: int = 512, chunk_chars: int = CHUNK_CHARS, tokenizer_dir: str | None = None) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit of every row."""
-    tune(docs.sparkSession)
-    path = tokenizer_path(tokenizer, tokenizer_dir)
-
+def _whole(docs: DataFrame, path: str, limit: int, chunk_chars: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(path)
+        shape = pa.list_(pa.struct([("start", pa.int64()), ("tokens", pa.int64())]))
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            n = [machine.count(t, chunk_chars) for t in texts]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()), "n_tokens": pa.array(n, pa.int64()), "over_limit": pa.array([x > limit for x in n])})
+            n, chunks = machine.counts([t or "" for t in batch.column(1).to_pylist()], chunk_chars)
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *(c[i] for c in chunks)])) for i in (0, 1)], names=["start", "tokens"])
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(c[0]) for c in chunks)]), pa.int32()), flat).cast(shape)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_bytes": batch.column(2), "n_tokens": pa.array(n), "over_limit": pa.array(n > limit), "chunks": lists})
+
+    return docs.select("doc_id", "text", "n_bytes").mapInArrow(run, f"doc_id long, n_bytes long, n_tokens long, over_limit boolean, chunks {CHUNKS}")
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+
+def _dealt(docs: DataFrame, path: str, limit: int, chunk_chars: int, piece_chars: int) -> DataFrame:
+    """The same for texts that are cut into pieces for several tasks; a piece's chunks are counted from the tokens of the pieces before."""
+    spec = "row long, doc_id long, n_bytes long, place long, start long, added long, piece string"
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = transducer(path)
+        for batch in batches:
+            for row, doc_id, n_bytes, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for place, (start, piece, added) in enumerate(machine.chunks(text, piece_chars)):
+                    yield pa.RecordBatch.from_pylist([{"row": row, "doc_id": doc_id, "n_bytes": n_bytes, "place": place, "start": start, "added": added, "piece": piece}], PIECES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = transducer(path)
+        for batch in batches:
+            n, chunks = machine.counts(batch.column("piece").to_pylist(), chunk_chars)
+            lists = [[{"start": a + x, "tokens": b} for x, b in zip(s.tolist(), t.tolist())] for a, (s, t) in zip(batch.column("start").to_pylist(), chunks)]
+            shape = pa.list_(pa.struct([("start", pa.int64()), ("tokens", pa.int64())]))
+            kept = {c: batch.column(c) for c in ("row", "doc_id", "n_bytes", "place")}
+            yield pa.RecordBatch.from_pydict({**kept, "n_tokens": pa.array(n + np.array(batch.column("added").to_pylist(), np.int64)), "added": batch.column("added"), "chunks": pa.array(lists, shape)})
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_bytes", "text")
+    pieces = rows.mapInArrow(cut, spec).repartition("row", "place")
+    counted = pieces.mapInArrow(run, f"row long, doc_id long, n_bytes long, place long, n_tokens long, added long, chunks {CHUNKS}")
+    before = F.coalesce(F.sum("n_tokens").over(W.partitionBy("row").orderBy("place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + F.col("added")
+    moved = counted.withColumn("_before", before).withColumn("chunks", F.transform("chunks", lambda c: F.struct(c["start"].alias("start"), (c["tokens"] + F.col("_before")).alias("tokens"))))
+    whole = moved.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "chunks"))), lambda p: p["chunks"])).alias("chunks"))
+    return whole.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "chunks")
+
+
+def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: int = 512, chunk_chars: int = CHUNK_CHARS, tokenizer_dir: str | None = None, long_chars: int = LONG_CHARS) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit and chunks (where each begins, and the tokens before it) of every row."""
+    tune(docs.sparkSession)
+    path = tokenizer_path(tokenizer, tokenizer_dir)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
+    is_long = F.length(F.coalesce("text", F.lit(""))) > long_chars
+    return _whole(rows.where(~is_long), path, limit, chunk_chars).unionByName(_dealt(rows.where(is_long), path, limit, chunk_chars, long_chars))
