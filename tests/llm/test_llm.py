@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import zlib
+from functools import reduce
 from collections import Counter
 
 import numpy as np
@@ -68,17 +69,51 @@ def test_chunk_maps_compose(text, width):
     lib = _BOTH.setdefault("count", library("byte_bpe_50k.json"))
     want = len(lib.encode(text, add_special_tokens=False).ids)
     assert m.count(text, width) == want
-    maps = [m.chunk_map(text[i : i + width]) for i in range(0, len(text), width)]
-    left = token_counts.ChunkMap("", 0, None)
-    for x in maps:
-        left = m.compose(left, x)
     if "<|endoftext|>" not in text:
-        assert m.finish(left) == want == m.finish(m.scan(maps))
-    # A map holds for every entry state, not only for the text's start.
-    for i, x in zip(range(0, len(text), width), maps):
-        for before in ("a", "it's", "  ", " 12", "\n'", "xx日"):
-            _, s = m.walk(m.state("", ""), before)
-            assert m.apply(x, s) == m.walk(s, text[i : i + width])
+        starts = m.cuts(text, width)
+        assert all(b - a >= width for a, b in zip(starts, starts[1:]))
+        maps = [m.chunk_map(text[a:b]) for a, b in zip(starts, [*starts[1:], len(text)])]
+        left = reduce(m.compose, maps)
+        right = reduce(lambda b, a: m.compose(a, b), reversed(maps))
+        assert left == right and left.count + left.open == want
+        # A map holds for every state that the text before may have left, not only for the one it did.
+        for a, x in zip(starts[1:], maps[1:]):
+            for before in ("", "a", "it's", "'r", " 12", "\n!", "xx日"):
+                n, s = m.walk(m.state("", ""), before + text[a - 1])
+                if m.parted(text[a - 1], text[a]):
+                    emitted, leave = m.walk(s, text[a : a + width])
+                    mine = m.chunk_map(text[a : a + width])
+                    assert (emitted, leave.final()) == (s.final() + mine.count, mine.open)
+    # Tokens before each chunk are those of the text up to it.
+    (total,), ((at, before),) = m.counts([text], width)
+    assert total == want and [len(lib.encode(text[:a], add_special_tokens=False).ids) for a in at.tolist()] == before.tolist()
+
+
+def test_prefix_scan_of_several_texts():
+    rng = np.random.default_rng(8)
+    sizes = rng.integers(1, 40, 30)
+    n, left = rng.integers(0, 9, sizes.sum()), rng.integers(0, 4, sizes.sum())
+    place = np.concatenate([np.arange(k) for k in sizes])
+    want = []
+    for a, k in zip(np.cumsum(sizes) - sizes, sizes):
+        m = token_counts.ChunkMap(0, 0)
+        for i in range(a, a + k):
+            m = token_counts.Transducer.compose(m, token_counts.ChunkMap(int(n[i]), int(left[i])))
+            want.append(m.count)
+    assert token_counts.prefix_scan(n, left, place).tolist() == want
+
+
+def test_long_texts_are_counted_by_several_tasks(spark):
+    """Pieces are cut at safe places, also within stretches without blanks and around added tokens; repeated rows stay apart."""
+    lib = library("byte_bpe_50k.json")
+    texts = ["some words, and more! " * 40, "a1b2" * 200, "x" * 900, "<|endoftext|>" * 30 + "end<|endoftext|>", "it's 'ré\u3000 日本" * 60, "short", None]
+    rows = [(i, t) for i, t in enumerate(texts)] * 2
+    got = token_counts.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), chunk_chars=20, long_chars=100).collect()
+    want = sorted((i, len((t or "").encode()), len(lib.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+    assert sorted((r.doc_id, r.n_bytes, r.n_tokens) for r in got) == want
+    for r in got:
+        t = texts[r.doc_id] or ""
+        assert [c.tokens for c in r.chunks] == [len(lib.encode(t[: c.start], add_special_tokens=False).ids) for c in r.chunks]
 
 
 def test_transducer_on_runs_and_small_tables():
@@ -170,7 +205,7 @@ def test_token_files_round_trip(spark, docs, empty):
 def test_token_counts(docs, empty):
     lib = library("byte_bpe_50k.json")
     want = Counter((r.doc_id, len((r.text or "").encode()), n := len(lib.encode(r.text or "", add_special_tokens=False).ids), n > 512) for r in docs.collect())
-    assert Counter(map(tuple, token_counts.count_tokens(docs, chunk_chars=1000).collect())) == want
+    assert Counter(tuple(r)[:4] for r in token_counts.count_tokens(docs, chunk_chars=1000).collect()) == want
     assert token_counts.count_tokens(empty).count() == 0
 
 
