@@ -31,6 +31,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--ai-url", help="the service's address for chat requests")
     p.add_argument("--ai-model", default="default")
     p.add_argument("--ai-pause", type=float, default=0.5, help="seconds between requests of one worker")
+    p.add_argument("--ai-ledger", help="a folder of replies that later runs go on with; without it they are asked for anew")
     return p.parse_args(argv)
 
 
@@ -57,7 +58,7 @@ def run(spark: SparkSession, args: argparse.Namespace, ask: Callable | None = No
                 report(job.stage_counts())
                 report(job.title_counts())
             if ask is not None:
-                final = stored(enrich(final, ask, pause=args.ai_pause), "enriched")
+                final = stored(enrich(final, ask, pause=args.ai_pause, ledger=args.ai_ledger), "enriched")
         write_results(final, args.output)
         return scope.keep(final)
 

@@ -23,6 +23,11 @@ SHOWN = 15
 CHUNK = 25
 
 
+def marked(keywords: DataFrame) -> DataFrame:
+    """``keywords`` with relevant: whether the keyword is about more than its tool's name."""
+    return keywords.withColumn("relevant", ~X.is_irrelevant(F.col("keyword"), F.col("tool")))
+
+
 def relevant(keywords: DataFrame) -> DataFrame:
     return keywords.where(~X.is_irrelevant(F.col("keyword"), F.col("tool")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from .functions import lexicon as L
-from .queries import CELLS, FIXES, KEYWORDS, MIX, TITLES, WORDS
+from .queries import CELLS, FIXES, KEYWORDS, MIX, REPLIES, TITLES, WORDS
 
 
 def _q(s: str) -> str:
@@ -194,6 +194,18 @@ ORACLE_SQL: dict[str, str] = {
     "safe_name": f"{BASE} SELECT tool, replace(trim(regexp_replace(tool, '[^\\w\\s.-]', '', 'g')), ' ', '_') AS name FROM (SELECT tool FROM kw UNION SELECT ' C++ tools ' UNION SELECT 'a/b: c.d-e')",
     "cross_tool_dup": f"{FINAL} SELECT tool, final_rank, canonical_keyword, CASE WHEN o <> tool THEN o END AS cross_tool_dup FROM (SELECT *, min(tool) OVER (PARTITION BY trim(lower(canonical_keyword))) AS o FROM fi)",
     "chunk25": f"{FINAL} SELECT tool, final_rank, CAST((final_rank - 1) // 25 AS BIGINT) AS chunk, CAST((final_rank - 1) % 25 AS BIGINT) AS idx_in_chunk FROM fi",
+    "ask_requests": f"""{FINAL} SELECT tool, CAST((final_rank - 1) // 25 AS BIGINT) AS chunk, count(*) AS n, min_by(canonical_keyword, final_rank) AS first_keyword, count(*) AS n_entries
+      FROM fi GROUP BY ALL""",
+    "reply_fixes": f"""WITH q AS ({REPLIES}), t AS (SELECT *, trim(reply, concat(chr(10), ' ')) AS r FROM q),
+      b AS (SELECT *, CASE WHEN starts_with(r, '```') THEN trim(regexp_replace(regexp_replace(r, '^```[^\\n]*\\n', ''), '```$', ''), concat(chr(10), ' ')) ELSE r END AS body FROM t),
+      j AS (SELECT *, TRY_CAST(body AS JSON) AS v FROM b),
+      bad AS (SELECT * FROM j WHERE v IS NULL OR json_type(v) <> 'ARRAY'),
+      e AS (SELECT tool, chunk, n, unnest(json_extract(v, '$[*]')) AS x FROM j WHERE json_type(v) = 'ARRAY'),
+      f AS (SELECT tool, chunk, n, TRY_CAST(x ->> '$.index' AS INTEGER) AS i, x ->> '$.fixed_title' AS title, coalesce(TRY_CAST(x ->> '$.irrelevant' AS BOOLEAN), FALSE) AS gone, TRY_CAST(x ->> '$.duplicate_of' AS INTEGER) AS dup FROM e)
+      SELECT tool, CAST(chunk * 3 + i AS BIGINT) AS idx, CASE WHEN i IS NOT NULL THEN title END AS fixed_title, CASE WHEN i IS NOT NULL THEN gone END AS irrelevant,
+        CAST(CASE WHEN i IS NOT NULL THEN chunk * 3 + dup END AS BIGINT) AS duplicate_of, CASE WHEN i IS NULL THEN 'record without an index' END AS error
+      FROM f WHERE i IS NULL OR (i >= 0 AND i < n)
+      UNION ALL SELECT tool, NULL, NULL, NULL, NULL, CASE WHEN reply IS NULL THEN 'no reply' ELSE 'no JSON array' END FROM bad""",
     "apply_fixes": f"{FINAL}, fx AS ({FIXES} FROM fi) SELECT fi.tool, final_rank, coalesce(fixed_title, canonical_keyword) AS canonical_keyword, variant_count FROM fi JOIN fx ON fi.tool = fx.tool AND fx.idx = final_rank - 1 WHERE NOT irrelevant AND duplicate_of IS NULL",
     "stage_counts": f"""{FINAL} SELECT tool, batch, 'raw' AS stage, count(*) AS n FROM kw GROUP BY ALL UNION ALL SELECT tool, batch, 'relevant', count(*) FROM rel GROUP BY ALL UNION ALL SELECT tool, batch, 'groups', count(*) FROM g GROUP BY ALL
       UNION ALL SELECT tool, batch, 'clusters', count(*) FROM (SELECT * FROM cs UNION ALL SELECT * FROM cl) WHERE r = leader GROUP BY ALL

@@ -58,9 +58,12 @@ class Consolidation:
     def _by_batch(self, standard: int, low: int) -> dict[str, int]:
         return {"standard": standard, "low_volume": low}
 
+    def marked(self) -> DataFrame:
+        """All keywords with ``relevant``. Stored, since keys are made of the distinct keywords and joined back, and the report counts all: the source is read once."""
+        return self._once("marked", lambda: O.marked(self.keywords))
+
     def relevant(self) -> DataFrame:
-        """Stored, since keys are made of the distinct keywords and joined back: the source is read once."""
-        return self._once("relevant", lambda: O.relevant(self.keywords))
+        return self.marked().where("relevant").drop("relevant")
 
     def rows(self) -> DataFrame:
         """Relevant keywords with their keys."""
@@ -104,7 +107,7 @@ class Consolidation:
             return df.groupBy("tool", "batch").agg(named.alias("_s")).select("tool", "batch", F.inline("_s")).where("n > 0")
 
         every = F.count("*")
-        steps = [(self.keywords, ("raw", every)), (self.relevant(), ("relevant", every)), (self.groups(), ("groups", every))]
+        steps = [(self.marked(), ("raw", every), ("relevant", F.count_if("relevant"))), (self.groups(), ("groups", every))]
         steps += [(self.leaders(), ("clusters", every), ("covered", F.count_if("covered"))), (self.results(), ("results", every)), (self.combined(), ("kept", every))]
         return reduce(DataFrame.unionByName, (count(*s) for s in steps))
 

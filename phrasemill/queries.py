@@ -12,6 +12,7 @@ from .functions import text as X
 from .functions.lexicon import CELL_PREFIXES
 from .operators import cluster as C
 from .operators import consolidate as O
+from .operators import enrich
 from .operators.setsim import similar_pairs
 from .plans.consolidation import Consolidation
 from .plans.ship import ship
@@ -81,6 +82,24 @@ SELECT tool, CAST(final_rank - 1 AS BIGINT) AS idx, CASE WHEN final_rank % 3 = 0
   final_rank % 7 = 0 AS irrelevant, CAST(CASE WHEN final_rank % 11 = 0 THEN 0 END AS BIGINT) AS duplicate_of
 """
 
+#: Replies of a service to chunks of three entries: plain, fenced, cut short, no array, indices out of the chunk, prose, none, odd records.
+REPLIES = """
+SELECT p_type AS tool, p_partkey AS chunk, 3 AS n, CAST(NULL AS STRING) AS error,
+  CASE CAST(p_partkey % 11 AS INT)
+    WHEN 0 THEN concat('[{"index": 0, "fixed_title": "How to hold a ', p_name, '", "irrelevant": false, "duplicate_of": null}, {"index": 1, "irrelevant": true}, {"index": 2, "duplicate_of": 0}]')
+    WHEN 1 THEN concat('```json', chr(10), '[{"index": 1, "fixed_title": "', p_name, '"}]', chr(10), '```')
+    WHEN 2 THEN concat('  ```', chr(10), '[{"index": 2, "fixed_title": "', p_name, '", "irrelevant": true}]  ')
+    WHEN 3 THEN concat('[{"index": 0, "fixed_title": "', p_name)
+    WHEN 4 THEN concat('{"index": 0, "fixed_title": "', p_name, '"}')
+    WHEN 5 THEN concat('[{"index": 3, "fixed_title": "', p_name, '"}, {"index": -1}, {"index": 2, "duplicate_of": 1}]')
+    WHEN 6 THEN concat('I can not help with ', p_name, '.')
+    WHEN 7 THEN '[]'
+    WHEN 8 THEN NULL
+    WHEN 9 THEN concat('[{"fixed_title": "', p_name, '"}, {"index": "2", "fixed_title": 5}, 7, {"index": null}, {"index": 0}]')
+    ELSE concat('[{"index": 0, "fixed_title": "', p_name, '", "more": [1, {"a": 2}]}, {"index": 0, "fixed_title": null, "irrelevant": null}]') END AS reply
+FROM part
+"""
+
 WORDS = ("ties", "stories", "cases", "uses", "status", "access", "bus", "gas", "classes", "s", "ies", "series")
 
 
@@ -89,7 +108,7 @@ def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _made(sql: str) -> Callable[[SparkSession, str], DataFrame]:
-    text = sql.replace("FROM part", "FROM {part}")
+    text = sql.replace("{", "{{").replace("}", "}}").replace("FROM part", "FROM {part}")
     return lambda spark, sf_dir: spark.sql(text, part=_part(spark, sf_dir))
 
 
@@ -402,6 +421,19 @@ def chunk25(spark, d):
     return O.chunked(job(spark, d).final()).select("tool", "final_rank", "chunk", "idx_in_chunk")
 
 
+@query
+def reply_fixes(spark, d):
+    """Replies taken apart: fix records and what was wrong with the others."""
+    return enrich.fixes(_made(REPLIES)(spark, d), 3)
+
+
+@query
+def ask_requests(spark, d):
+    """What a service would be asked: a request a chunk of 25 rows, entries as JSON."""
+    asked = enrich.requests(job(spark, d).final(), "m")
+    return asked.select("tool", "chunk", F.col("n").cast("long").alias("n"), F.get_json_object("entries", "$[0].keyword").alias("first_keyword"), F.expr("json_array_length(entries)").cast("long").alias("n_entries"))
+
+
 @query
 def apply_fixes(spark, d):
     final = job(spark, d).final()

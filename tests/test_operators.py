@@ -161,9 +161,9 @@ def test_enrichment(spark):
             raise OSError("down")
         return '```json\n[{"index": 0, "fixed_title": "New", "irrelevant": false, "duplicate_of": null}, {"index": 1, "irrelevant": true}, {"index": 2, "duplicate_of": 0}, {"index": 9, "fixed_title": "no"}]\n```'
 
-    got = {r.final_rank: r.canonical_keyword for r in enrich.enrich(final, ask, size=3).collect()}
+    got = {r.final_rank: r.canonical_keyword for r in enrich.enrich(final, ask, size=3, tries=1).collect()}
     assert got == {1: "New", 4: "kw 4", 5: "kw 5", 6: "kw 6", 7: "New"}
-    assert [r.error for r in enrich.propose(final, ask, size=3).where("error is not null").collect()] == ["OSError: down"]
+    assert [r.error for r in enrich.propose(final, ask, size=3, tries=2, wait=0.01).where("error is not null").collect()] == ["OSError: down"]
 
 
 def test_enrichment_by_http(spark, book, tmp_path, monkeypatch):
@@ -201,7 +201,7 @@ def test_enrichment_by_http(spark, book, tmp_path, monkeypatch):
     rows = cli.run(spark, args, cli.service(args), lambda df: reports.append({tuple(r)[-2:] for r in df.collect()})).collect()
     server.shutdown()
     assert [(r.batch, r.canonical_keyword, r.suggested_title) for r in rows] == [("low_volume", "How to add boards", "How to add boards")]
-    assert len(seen) == 1 and seen[0][:3] == ("Bearer sesame", "m", 4096) and "[1] keyword: how to add a board" in seen[0][3] and "Jira" in seen[0][3]
+    assert len(seen) == 1 and seen[0][:3] == ("Bearer sesame", "m", 4096) and '"index": 1, "keyword": "how to add a board"' in seen[0][3] and "Jira" in seen[0][3]
     assert ("titles", 1) in reports[1] and {s for s, _ in reports[0]} >= {"raw", "relevant", "groups", "clusters", "results", "kept"}
     assert enrich.reply_text({"choices": [{"message": {"content": "x"}}]}) == "x"
 
