@@ -40,31 +40,42 @@ def frequencies(df: DataFrame, key: str, scope: list[str]) -> DataFrame:
     return df.select(*scope, F.explode(key).alias("token")).groupBy(*scope, "token").agg(F.count("*").alias("freq"))
 
 
-def candidates(left: DataFrame, right: DataFrame, scope: list[str], num: Part, den: Part, extra: Column | None = None) -> DataFrame:
-    """scope..., l_id, l_key, r_id, r_key: each pair that the filters leave, once."""
+def candidates(left: DataFrame, right: DataFrame, scope: list[str], num: Part, den: Part, extra: Column | None = None, long_keys: bool = False) -> DataFrame:
+    """scope..., l_id, l_key, r_id, r_key: each pair that the filters leave, once.
+
+    Short keys travel with their tokens, so one shuffle does, and a pair is taken where its first common token meets. With ``long_keys``
+    only ids, sizes and places travel; pairs are then made distinct and get their keys by two joins.
+    """
     order = frequencies(left.select(*scope, "key").unionByName(right.select(*scope, "key")), "key", scope)
-    a, b = (
-        prefixes(df.select(*scope, F.col("id").alias(f"{s}_id"), F.col("key").alias(f"{s}_key")), f"{s}_key", scope, num, den, order).withColumnsRenamed({"prefix": f"{s}_prefix", "pos": f"{s}_pos"})
-        for df, s in ((left, "l"), (right, "r"))
-    )
-    n_l, n_r = F.size("l_key"), F.size("r_key")
+    wide = ("id", "n", "pos") if long_keys else ("id", "n", "pos", "key", "prefix")
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        rows = prefixes(df.select(*scope, "id", "key"), "key", scope, num, den, order).withColumn("n", F.size("key"))
+        return rows.select(*scope, "token", *(F.col(c).alias(f"{s}_{c}") for c in wide))
+
+    n_l, n_r = F.col("l_n"), F.col("r_n")
     sizes = (den * n_l >= num * n_r) & (den * n_r >= num * n_l)
-    most = F.least(n_l - F.col("l_pos"), n_r - F.col("r_pos"))
-    room = (num + den) * most >= num * (n_l + n_r)
-    first = F.get(F.array_intersect("l_prefix", "r_prefix"), F.lit(0)) == F.col("token")
-    found = a.join(b, [*scope, "token"]).where(sizes & room)
+    # At a pair's first common token, no more than what stands from there on can be common.
+    room = (num + den) * F.least(n_l - F.col("l_pos"), n_r - F.col("r_pos")) >= num * (n_l + n_r)
+    found = side(left, "l").join(side(right, "r"), [*scope, "token"]).where(sizes & room)
     if extra is not None:
         found = found.where(extra)
-    return found.where(first).select(*scope, "l_id", "l_key", "r_id", "r_key")
+    if not long_keys:
+        first = F.get(F.array_intersect("l_prefix", "r_prefix"), F.lit(0)) == F.col("token")
+        return found.where(first).select(*scope, "l_id", "l_key", "r_id", "r_key")
+    pairs = found.select(*scope, "l_id", "r_id").distinct()
+    for s, df in (("l", left), ("r", right)):
+        pairs = pairs.join(df.select(*scope, F.col("id").alias(f"{s}_id"), F.col("key").alias(f"{s}_key")), [*scope, f"{s}_id"])
+    return pairs.select(*scope, "l_id", "l_key", "r_id", "r_key")
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, scope: list[str], num: Part, den: Part, extra: Column | None = None) -> DataFrame:
+def similar_pairs(left: DataFrame, right: DataFrame, scope: list[str], num: Part, den: Part, extra: Column | None = None, long_keys: bool = False) -> DataFrame:
     """Pairs with Jaccard >= num/den: scope..., l_id, r_id, inter, uni.
 
-    Both sides have scope..., ``id`` and ``key``; an id has one key. ``extra`` is a further condition over l_id, l_key, r_id, r_key.
+    Both sides have scope..., ``id`` and ``key``; an id has one key. ``extra`` is a further condition over l_id and r_id. ``long_keys``: see ``candidates``.
     """
     return (
-        candidates(left, right, scope, num, den, extra)
+        candidates(left, right, scope, num, den, extra, long_keys)
         .withColumn("inter", overlap(F.col("l_key"), F.col("r_key")))
         .withColumn("uni", F.size("l_key") + F.size("r_key") - F.col("inter"))
         .where(den * F.col("inter") >= num * F.col("uni"))

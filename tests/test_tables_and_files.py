@@ -126,7 +126,8 @@ def test_filters_before_the_comparison(spark):
     plain = a.join(a.selectExpr("id as other", "token"), "token").where("id < other").select("id", "other").distinct().count()
     assert len(got) * 2 < plain
     want = {(i, j) for i, x in enumerate(map(set, sets)) for j, y in enumerate(map(set, sets)) if i < j and 10 * len(x & y) >= 7 * len(x | y)}
-    assert {(r.l_id, r.r_id) for r in setsim.similar_pairs(df, df, [], 7, 10, extra).collect()} == want <= set(got)
+    for long_keys in (False, True):
+        assert {(r.l_id, r.r_id) for r in setsim.similar_pairs(df, df, [], 7, 10, extra, long_keys).collect()} == want <= set(got)
 
 
 @pytest.fixture
