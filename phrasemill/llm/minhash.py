@@ -121,7 +121,7 @@ def paired(sets: DataFrame, docs: DataFrame, max_bucket: int = MAX_BUCKET) -> Da
     if crowded.isEmpty():
         return found
     side = shingles_of(crowded, sets, docs).select(F.col("set_key").alias("id"), F.col("s").alias("key"))
-    near = similar_pairs(side, side, [], *NEAR, F.col("l_id") < F.col("r_id"))
+    near = similar_pairs(side, side, [], *NEAR, F.col("l_id") < F.col("r_id"), long_keys=True)
     return found.unionByName(near.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))
 
 
