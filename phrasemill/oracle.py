@@ -131,6 +131,9 @@ cd AS (SELECT x.* EXCLUDE ("key") FROM rkk x WHERE NOT (batch = 'low_volume' AND
 fi AS (SELECT *, row_number() OVER (PARTITION BY tool ORDER BY variant_count DESC, category, batch = 'low_volume', leader_rank) AS final_rank, {_TITLE.replace('(c', '(canonical_keyword').replace('ELSE c', 'ELSE canonical_keyword')} AS suggested_title FROM cd)"""
 )
 
+NEW_KEYS = f"""{BASE}, rr AS (SELECT DISTINCT CAST(floor(pos / 500.0) AS BIGINT) AS run, tool, batch, key_str FROM kr), fr AS (SELECT tool, batch, key_str, min(run) AS began FROM rr GROUP BY ALL)
+SELECT run, tool, batch, count(*) AS n_keys, count(*) FILTER (run = began) AS n_new FROM rr JOIN fr USING (tool, batch, key_str) GROUP BY ALL"""
+
 FIRST_SHEET = "first_value(name) OVER (PARTITION BY lower(name) ORDER BY sheet_idx)"
 POS = "(sheet_idx::BIGINT * 17179869184 + row_idx::BIGINT * 16384 + col_idx)"
 CELL_OK = f"""lower(v) NOT IN ({', '.join(map(_q, L.SKIP_VALUES))}) AND length(v) >= 3 AND {' AND '.join(f'NOT starts_with(v, {_q(p)})' for p in L.CELL_PREFIXES)} AND NOT (v LIKE '**%' AND v LIKE '%**') AND {LOOKS}"""
@@ -194,6 +197,8 @@ ORACLE_SQL: dict[str, str] = {
     "safe_name": f"{BASE} SELECT tool, replace(trim(regexp_replace(tool, '[^\\w\\s.-]', '', 'g')), ' ', '_') AS name FROM (SELECT tool FROM kw UNION SELECT ' C++ tools ' UNION SELECT 'a/b: c.d-e')",
     "cross_tool_dup": f"{FINAL} SELECT tool, final_rank, canonical_keyword, CASE WHEN o <> tool THEN o END AS cross_tool_dup FROM (SELECT *, min(tool) OVER (PARTITION BY trim(lower(canonical_keyword))) AS o FROM fi)",
     "chunk25": f"{FINAL} SELECT tool, final_rank, CAST((final_rank - 1) // 25 AS BIGINT) AS chunk, CAST((final_rank - 1) % 25 AS BIGINT) AS idx_in_chunk FROM fi",
+    "new_keys": NEW_KEYS,
+    "new_keys_sketched": NEW_KEYS,
     "ask_requests": f"""{FINAL} SELECT tool, CAST((final_rank - 1) // 25 AS BIGINT) AS chunk, count(*) AS n, min_by(canonical_keyword, final_rank) AS first_keyword, count(*) AS n_entries
       FROM fi GROUP BY ALL""",
     "reply_fixes": f"""WITH q AS ({REPLIES}), t AS (SELECT *, trim(reply, concat(chr(10), ' ')) AS r FROM q),

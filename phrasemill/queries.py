@@ -12,7 +12,7 @@ from .functions import text as X
 from .functions.lexicon import CELL_PREFIXES
 from .operators import cluster as C
 from .operators import consolidate as O
-from .operators import enrich
+from .operators import enrich, history
 from .operators.setsim import similar_pairs
 from .plans.consolidation import Consolidation
 from .plans.ship import ship
@@ -446,6 +446,22 @@ def stage_counts(spark, d):
     return job(spark, d).stage_counts()
 
 
+def run_rows(spark, d):
+    """Keyed keywords with the run they came in: 500 positions a run."""
+    return job(spark, d).rows().select(F.floor(F.col("pos") / 500).alias("run"), "tool", "batch", "key_str")
+
+
+@query
+def new_keys(spark, d):
+    return history.new_keys(run_rows(spark, d))
+
+
+@query
+def new_keys_sketched(spark, d):
+    """The same from sketches, which are exact for so few keys a tool."""
+    return history.new_keys_estimated(history.run_sketches(run_rows(spark, d)))
+
+
 @query
 def summary_by_tool(spark, d):
     return O.summary(job(spark, d).final())
