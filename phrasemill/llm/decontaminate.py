@@ -28,6 +28,8 @@ N = 10
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Windows that may be sent to every task (each is a hash and a text of some 60 bytes).
 MAX_WINDOWS = 50_000
+#: Bytes of (window, item) rows that may be broadcast: a window that many items share has many. More are joined by a shuffle.
+MAX_BROADCAST = 16 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -115,12 +117,18 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = N, max_windows: int =
     # One marker row a document beside its distinct windows: documents without hits stay, repeated rows are counted.
     windows = F.expr("concat(array(cast(null as bigint)), array_distinct(transform(_spans, s -> s.h)))")
     hits = marked.select(F.col("doc_id").cast("long").alias("doc_id"), split_text_key(F.col("text")).alias("_k"), F.size("_words").cast("long").alias("n_words"), F.col("_n_hit").alias("n_hit"), F.explode(windows).alias("h"))
-    items = windows_of(benchmark, n).groupBy(F.xxhash64(F.split("w", " ")).alias("h")).agg(F.collect_set("item_id").alias("items"))
+    windows = windows_of(benchmark, n).select(F.xxhash64(F.split("w", " ")).alias("h"), "w", "item_id")
+    n_windows, n_hashes, n_bytes = windows.agg(F.count_distinct("w"), F.count_distinct("h"), F.coalesce(F.sum(F.octet_length("item_id") + 16), F.lit(0))).first()
+    if n_windows != n_hashes:  # a hash would name the items of two windows
+        return _report_joined(docs, benchmark, n)
+    # Marker rows have no window; they spread over all partitions by a key of their own.
+    items = windows.select("h", F.lit(False).alias("marker"), "item_id")
+    spread = hits.withColumn("marker", F.col("h").isNull()).withColumn("h", F.coalesce("h", F.xxhash64("doc_id", "_k")))
     found = (
-        hits.join(F.broadcast(items), "h", "left")  # at most max_windows rows
+        spread.join(F.broadcast(items) if n_bytes <= MAX_BROADCAST else items, ["h", "marker"], "left")
         .groupBy("doc_id", "_k")
         # Aggregates, so that a filter on them isn't pushed down to the scan and its words (see ``_clean``).
-        .agg(F.max("n_words").alias("n_words"), F.max("n_hit").alias("n_hit"), F.count_if(F.col("h").isNull()).alias("times"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+        .agg(F.max("n_words").alias("n_words"), F.max("n_hit").alias("n_hit"), F.count_if("marker").alias("times"), F.array_sort(F.collect_set("item_id")).alias("items"))
     )
     return _described(found)
 

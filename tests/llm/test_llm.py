@@ -363,6 +363,18 @@ HITS = [
 ]
 
 
+def test_a_window_that_many_items_share(spark, monkeypatch):
+    """Its items aren't broadcast beyond a number of bytes, and rows are the same either way."""
+    shared = "one two three four five six seven eight nine ten"
+    bench = spark.range(20_000).select(F.col("id").alias("item_id"), F.lit(shared).alias("text")).union(spark.createDataFrame([(99_999, "alone here")], "item_id long, text string"))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["x " + shared, "alone here", "clean", None, shared + " alone here"])] * 2, "doc_id long, text string")
+    got = [sorted(map(tuple, decontaminate.report(docs, bench).collect()))]
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST", 0)
+    got.append(sorted(map(tuple, decontaminate.report(docs, bench).collect())))
+    assert got[0] == got[1] and [(r[0], r[3]) for r in got[0]] == [(i, n) for i, n in enumerate((20_000, 1, 0, 0, 20_001)) for _ in range(2)]
+    assert got[0][0][4] == hashlib.sha256(",".join(sorted(map(str, range(20_000)))).encode()).hexdigest()
+
+
 def test_decontaminate(spark):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     docs = spark.createDataFrame([(i, t, "e", "e") for i, t in HITS], "doc_id long, text string, items string, h string")
