@@ -322,10 +322,9 @@ def transducer(path: str) -> Transducer:
 
 def _whole(docs: DataFrame, path: str, limit: int, chunk_chars: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(path)
         shape = pa.list_(pa.struct([("start", pa.int64()), ("tokens", pa.int64())]))
         for batch in batches:
-            n, chunks = machine.counts([t or "" for t in batch.column(1).to_pylist()], chunk_chars)
+            n, chunks = transducer(path).counts([t or "" for t in batch.column(1).to_pylist()], chunk_chars)
             flat = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *(c[i] for c in chunks)])) for i in (0, 1)], names=["start", "tokens"])
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(c[0]) for c in chunks)]), pa.int32()), flat).cast(shape)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_bytes": batch.column(2), "n_tokens": pa.array(n), "over_limit": pa.array(n > limit), "chunks": lists})
@@ -338,16 +337,14 @@ def _dealt(docs: DataFrame, path: str, limit: int, chunk_chars: int, piece_chars
     spec = "row long, doc_id long, n_bytes long, place long, start long, added long, piece string"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(path)
         for batch in batches:
             for row, doc_id, n_bytes, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for place, (start, piece, added) in enumerate(machine.chunks(text, piece_chars)):
+                for place, (start, piece, added) in enumerate(transducer(path).chunks(text, piece_chars)):
                     yield pa.RecordBatch.from_pylist([{"row": row, "doc_id": doc_id, "n_bytes": n_bytes, "place": place, "start": start, "added": added, "piece": piece}], PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(path)
         for batch in batches:
-            n, chunks = machine.counts(batch.column("piece").to_pylist(), chunk_chars)
+            n, chunks = transducer(path).counts(batch.column("piece").to_pylist(), chunk_chars)
             lists = [[{"start": a + x, "tokens": b} for x, b in zip(s.tolist(), t.tolist())] for a, (s, t) in zip(batch.column("start").to_pylist(), chunks)]
             shape = pa.list_(pa.struct([("start", pa.int64()), ("tokens", pa.int64())]))
             kept = {c: batch.column(c) for c in ("row", "doc_id", "n_bytes", "place")}
