@@ -141,7 +141,7 @@ def book_files(spark: SparkSession, made: DataFrame, label: str) -> str:
     tabs = [(r.sheet_idx, r.sheet) for r in made.groupBy("sheet_idx").agg(F.min_by("sheet", at).alias("sheet")).orderBy("sheet_idx").collect()]  # a row a tab
     folder = shared_path(spark, label)
 
-    def write(key: tuple, pdf):
+    def write(key, pdf):
         import pandas as pd
 
         pdf = pdf.sort_values(["row_idx", "col_idx"])

@@ -131,7 +131,7 @@ def _joined(spark: SparkSession, staging: str, path: str) -> set[str]:
     if not staged:
         return set()
 
-    def join(key: tuple, pdf):
+    def join(key, pdf):
         import pandas as pd
 
         store, root = located(path)
