@@ -26,7 +26,7 @@ from ..functions.lexicon import DEFAULT, Lexicon
 from ..plans.ship import ship
 from ..plans.storage import discard, stored
 from .ranks import numbered
-from .setsim import similar_pairs
+from .setsim import POSTING, similar_pairs
 
 SCOPE = ["tool", "batch"]
 MAX_LOCAL = 20_000
@@ -52,7 +52,7 @@ def of_batch(part: ByBatch) -> int | Column:
 def edges(groups: DataFrame, num: ByBatch, den: ByBatch, lex: Lexicon = DEFAULT) -> DataFrame:
     """tool, batch, i, j (earlier), score: every mergeable pair."""
     side = groups.select(*SCOPE, F.col("group_rank").alias("id"), "key")
-    pairs = similar_pairs(side, side, SCOPE, of_batch(num), of_batch(den), F.col("r_id") < F.col("l_id"))
+    pairs = similar_pairs(side, side, SCOPE, of_batch(num), of_batch(den), F.col("r_id") < F.col("l_id"), posting=POSTING)
     verbs = groups.select(*SCOPE, "group_rank", "lead")
     l = verbs.select(*SCOPE, F.col("group_rank").alias("l_id"), F.col("lead").alias("l_lead"))  # noqa: E741
     r = verbs.select(*SCOPE, F.col("group_rank").alias("r_id"), F.col("lead").alias("r_lead"))

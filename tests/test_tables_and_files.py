@@ -127,7 +127,25 @@ def test_filters_before_the_comparison(spark):
     assert len(got) * 2 < plain
     want = {(i, j) for i, x in enumerate(map(set, sets)) for j, y in enumerate(map(set, sets)) if i < j and 10 * len(x & y) >= 7 * len(x | y)}
     for long_keys in (False, True):
-        assert {(r.l_id, r.r_id) for r in setsim.similar_pairs(df, df, [], 7, 10, extra, long_keys).collect()} == want <= set(got)
+        for posting in (None, 7):
+            assert {(r.l_id, r.r_id) for r in setsim.similar_pairs(df, df, [], 7, 10, extra, long_keys, posting).collect()} == want <= set(got)
+
+
+def test_long_posting_lists_are_cut(spark):
+    """A token of a third of all keys: no join key holds more of either side than a block (hashing apart), and the pairs stay."""
+    rows = [(i, [f"a{i // 2}", "hot"] if i % 3 == 0 else [f"a{i // 2}", f"b{i % 50}"]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, key array<string>")
+    order = setsim.frequencies(df.union(df), "key", [])
+    side = setsim.prefixes(df, "key", [], 1, 3, order, freq=True).withColumnRenamed("id", "l_id")
+    assert side.groupBy("token").count().agg(F.max("count")).first()[0] == 500
+    dealt = setsim.postings(side, "l", 100)
+    assert dealt.groupBy("token", "l_block", "r_block").count().agg(F.max("count")).first()[0] < 100
+    assert dealt.where("token <> 'hot'").count() == side.where("token <> 'hot'").count()
+    extra = F.col("l_id") < F.col("r_id")
+    whole, cut = ([tuple(r) for r in setsim.similar_pairs(df, df, [], 1, 3, extra, posting=p).select("l_id", "r_id").collect()] for p in (None, 100))
+    keys = [set(k) for _, k in rows]
+    want = [(i, j) for i in range(1500) for j in range(i + 1, 1500) if 3 * len(keys[i] & keys[j]) >= len(keys[i] | keys[j])]
+    assert sorted(cut) == sorted(whole) == want and len(want) > 500 * 499 // 2
 
 
 @pytest.fixture
