@@ -242,6 +242,7 @@ class Lexicon:
     verbs: dict[str, str] = field(default_factory=lambda: _synonyms(VERBS))
     objects: dict[str, str] = field(default_factory=lambda: _synonyms(OBJECTS))
     never_merge: tuple[tuple[str, str], ...] = tuple(tuple(sorted(line.split())) for line in NEVER_MERGE.strip().splitlines())
+    irrelevant: tuple[str, ...] = IRRELEVANT_PATTERNS
 
     @property
     def canonical_verbs(self) -> list[str]:

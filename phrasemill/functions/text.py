@@ -1,6 +1,6 @@
 """Scalar operators as Column expressions: cell filters, names, normalizers, categories.
 
-All run on the JVM. White space is Python's: Unicode White_Space and U+001C..U+001F.
+All run on the JVM, but for lexicons of more than ``automaton.FEW`` phrases. White space is Python's: Unicode White_Space and U+001C..U+001F.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import automaton
 from . import lexicon as L
 from .lexicon import DEFAULT, Lexicon
 
@@ -40,8 +41,11 @@ def starts_with_any(c: Column, prefixes: tuple[str, ...]) -> Column:
 
 
 def contains_any(c: Column, parts: tuple[str, ...]) -> Column:
-    """One pass over the text by an escaped alternation."""
-    return c.rlike("|".join(re.escape(p) for p in dict.fromkeys(parts)))
+    """Whether the text holds one of ``parts``: by an escaped alternation, which is tried at each place, or by an automaton where they are many."""
+    parts = tuple(dict.fromkeys(parts))
+    if not parts:
+        return F.when(c.isNotNull(), False)
+    return c.rlike("|".join(re.escape(p) for p in parts)) if len(parts) <= automaton.FEW else automaton.holds_any(c, parts)
 
 
 # Workbook cells and tabs
@@ -77,11 +81,12 @@ def cell_is_keyword(v: Column) -> Column:
 # Keys
 
 
-def lookup(table: dict[str, str], w: Column, slots: int = 64) -> Column:
+def lookup(table: dict[str, str], w: Column, slots: int | None = None) -> Column:
     """The table's value for ``w``, else ``w``.
 
-    Map literals are searched front to back, so the table is dealt into maps by CRC-32: a few entries each.
+    Map literals are searched front to back, so the table is dealt into maps by CRC-32: a few entries each, however many there are.
     """
+    slots = slots or max(64, len(table) // 8)
     dealt: list[dict[str, str]] = [{} for _ in range(slots)]
     for k, v in table.items():
         dealt[zlib.crc32(k.encode()) % slots][k] = v
@@ -90,6 +95,9 @@ def lookup(table: dict[str, str], w: Column, slots: int = 64) -> Column:
 
 
 def replace_all(c: Column, pairs: list[tuple[str, str]]) -> Column:
+    """Each pair's first text replaced by its second, one pair after the other."""
+    if len(pairs) > automaton.FEW:
+        return automaton.replaced_in_turn(c, pairs)
     return reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), pairs, c)
 
 
@@ -176,10 +184,10 @@ def category(keyword: Column) -> Column:
     )
 
 
-def is_irrelevant(keyword: Column, tool: Column) -> Column:
+def is_irrelevant(keyword: Column, tool: Column, lex: Lexicon = DEFAULT) -> Column:
     c, t = lowered(keyword), F.lower(tool)
     exact = [F.concat(F.lit(a), t, F.lit(b)) for a, b in (x.split("{}") for x in L.IRRELEVANT_TEMPLATES)]
-    return c.isin(*exact) | contains_any(c, L.IRRELEVANT_PATTERNS)
+    return c.isin(*exact) | contains_any(c, lex.irrelevant)
 
 
 def signal(n: Column) -> Column:

@@ -23,13 +23,13 @@ SHOWN = 15
 CHUNK = 25
 
 
-def marked(keywords: DataFrame) -> DataFrame:
+def marked(keywords: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     """``keywords`` with relevant: whether the keyword is about more than its tool's name."""
-    return keywords.withColumn("relevant", ~X.is_irrelevant(F.col("keyword"), F.col("tool")))
+    return keywords.withColumn("relevant", ~X.is_irrelevant(F.col("keyword"), F.col("tool"), lex))
 
 
-def relevant(keywords: DataFrame) -> DataFrame:
-    return keywords.where(~X.is_irrelevant(F.col("keyword"), F.col("tool")))
+def relevant(keywords: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
+    return keywords.where(~X.is_irrelevant(F.col("keyword"), F.col("tool"), lex))
 
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:

@@ -60,7 +60,7 @@ class Consolidation:
 
     def marked(self) -> DataFrame:
         """All keywords with ``relevant``. Stored, since keys are made of the distinct keywords and joined back, and the report counts all: the source is read once."""
-        return self._once("marked", lambda: O.marked(self.keywords))
+        return self._once("marked", lambda: O.marked(self.keywords, self.s.lexicon))
 
     def relevant(self) -> DataFrame:
         return self.marked().where("relevant").drop("relevant")
