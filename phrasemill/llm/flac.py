@@ -1,7 +1,8 @@
 """FLAC media columns (operator 10).
 
 ``encode``: 8-bit mono FLAC streams (STREAMINFO with the MD5 of the samples, a SEEKTABLE with a
-point for every frame, constant / verbatim / fixed-predictor subframes with Rice residuals).
+point for every frame, constant / verbatim / fixed-predictor subframes of orders 0 to 4 and linear
+predictors of order 4, whichever seems shortest, with Rice residuals).
 ``decode``: reads such streams and any mono stream of constant, verbatim, fixed or general
 linear-predictor subframes; verifies each header's CRC-8, each frame's CRC-16 and the MD5.
 
@@ -30,6 +31,8 @@ from .common import tune
 BLOCK = 2048
 RATE = 8000
 UNIT = 64
+#: Fixed predictors have orders below LINEAR, which stands for the linear one; that has LPC coefficients of PRECISION bits.
+LINEAR, LPC, PRECISION = 5, 4, 8
 
 
 class FlacError(ValueError):
@@ -129,56 +132,107 @@ def encode(payloads: list[bytes], block: int = BLOCK) -> list[bytes]:
     return out
 
 
+def predictors(x: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(coefficients, shift) of each frame's linear predictor: Levinson and Durbin on exact integer autocorrelations, then rounded.
+
+    The newest sample's coefficient comes first. Frames are treated apart, so a frame's predictor doesn't depend on its neighbours.
+    """
+    r = []
+    for lag in range(LPC + 1):
+        product = x * np.roll(x, lag)
+        for j in range(lag):
+            product[starts[counts > j] + j] = 0
+        r.append(np.add.reduceat(product, starts, dtype=np.int64).astype(np.float64))
+    a, err = np.zeros((LPC, len(starts))), r[0].copy()
+    for i in range(LPC):
+        acc = r[i + 1] - sum((a[j] * r[i - j] for j in range(i)), np.zeros(len(starts)))
+        k = np.divide(acc, err, out=np.zeros_like(acc), where=err > 0)
+        a[:i], a[i] = a[:i] - k * a[:i][::-1], k
+        err = err * (1 - k * k)
+    shift, top = np.zeros(len(starts), np.int32), np.abs(a).max(axis=0)
+    for s in range(1, 16):
+        shift[top * (1 << s) <= (1 << PRECISION - 1) - 1] = s
+    limit = 1 << PRECISION - 1
+    return np.clip(np.rint(a * (1 << shift)), -limit, limit - 1).astype(np.int32), shift
+
+
+def residuals(x: np.ndarray, starts: np.ndarray, counts: np.ndarray, coefficients: np.ndarray, shift: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(order, zigzag residuals) of each predictor, zero at the warm-up samples: fixed ones by repeated differences, then the linear one."""
+    for order in range(LINEAR):
+        r = x if order == 0 else np.diff(r, prepend=np.int32(0))
+        z = (r << 1) ^ (r >> 31)
+        for j in range(order):
+            z[starts[counts > j] + j] = 0
+        yield order, z
+    guess = np.zeros(len(x), np.int32)
+    for j, c in enumerate(coefficients):
+        guess[j + 1 :] += np.repeat(c, counts)[j + 1 :] * x[: len(x) - j - 1]
+    r = x - (guess >> np.repeat(shift, counts))
+    z = (r << 1) ^ (r >> 31)
+    for j in range(LPC):
+        z[starts[counts > j] + j] = 0
+    yield LPC, z
+
+
 def _frames(x: np.ndarray, starts: np.ndarray, counts: np.ndarray, number: list[int]) -> list[bytes]:
-    """Encode each frame as constant, fixed order 0 or 1 with one Rice parameter, or verbatim, whichever seems shortest."""
+    """Encode each frame as constant, by one predictor with one Rice parameter, or verbatim, whichever seems shortest."""
     n_frames = len(starts)
     spread = lambda v: np.repeat(v, counts)
     x = x.astype(np.int32)
-    delta = np.diff(x, prepend=np.int32(0))
-    zig = [(r << 1) ^ (r >> 31) for r in (x, delta)]
-    zig[1][starts] = 0
-    best_bits, best = np.full(n_frames, np.inf), np.zeros((2, n_frames), np.int32)
-    for order, z in enumerate(zig):
-        total, n = np.add.reduceat(z, starts, dtype=np.int64), np.maximum(counts - order, 1)
+    coefficients, shift_of = predictors(x, starts, counts)
+    # Which predictor: a fixed one's order, or LINEAR for the linear one. -1 verbatim, -2 constant.
+    best_bits, best_k, kind = counts * 8.0, np.zeros(n_frames, np.int32), np.full(n_frames, -1)
+    z = np.zeros(len(x), np.int32)
+    for i, (order, own) in enumerate(residuals(x, starts, counts, coefficients, shift_of)):
+        total, n = np.add.reduceat(own, starts, dtype=np.int64), np.maximum(counts - order, 1)
+        head = 8 * order + 10 + (9 + LPC * PRECISION if i == LINEAR else 0)
+        chosen = np.zeros(n_frames, bool)
         for k in range(1, 9):
-            bits = n * (k + 0.5) + total / (1 << k) + 8 * order + 10
-            better = bits < best_bits
-            best_bits[better] = bits[better]
-            best[0, better], best[1, better] = order, k
+            bits = n * (k + 0.5) + total / (1 << k) + head
+            better = (bits < best_bits) & (counts > order)
+            best_bits[better], best_k[better], kind[better] = bits[better], k, i
+            chosen |= better
+        if chosen.any():
+            z = np.where(spread(chosen), own, z)
     constant = np.maximum.reduceat(x, starts) == np.minimum.reduceat(x, starts)
-    kind = np.where(constant, -2, np.where(best_bits >= counts * 8, -1, best[0]))
-    k = np.where(kind >= 0, best[1], 0).astype(np.int32)
+    kind[constant] = -2
+    rice, linear = kind >= 0, kind == LINEAR
+    order = np.where(linear, LPC, np.maximum(kind, 0))
+    k = np.where(rice, best_k, 0).astype(np.int32)
 
     # Each sample's code: q zero bits, then `value` in `size` bits. Frames start at bytes of one bit string.
     kind_s, k_s = spread(kind), spread(k)
-    z = np.where(kind_s == 1, zig[1], zig[0])
     q = z >> k_s
     value = (z & ((1 << k_s) - 1)) | (1 << k_s)
     size = k_s + 1
-    plain = kind_s < 0
-    plain[starts[kind == 1]] = True  # the warm-up sample
+    place = np.arange(len(x)) - spread(starts)
+    warm = (kind_s >= 0) & (place < spread(order))
+    plain = (kind_s < 0) | warm
     value[plain], size[plain], q[plain] = x[plain] & 0xFF, 8, 0
     rest = kind_s == -2
     rest[starts] = False
     value[rest], size[rest] = 0, 0
     width = q + size
     ends = np.cumsum(width)
-    extra = np.where(kind >= 0, 10, 0)  # coding method, partition order, parameter: before the first residual
+    # Before the first residual: precision, shift and coefficients of a linear predictor; coding method, partition order, parameter.
+    extra = np.where(rice, 10, 0) + np.where(linear, 9 + LPC * PRECISION, 0)
     frame_bits = np.add.reduceat(width, starts) + extra + 8
     frame_bytes = (frame_bits + 7) // 8
     base = np.cumsum(frame_bytes) - frame_bytes
     shift = base * 8 + 8 + extra - (ends - width)[starts]
     at = ends - size + spread(shift)
-    at[starts[kind == 1]] -= 10
+    at -= np.where(warm, spread(extra), 0)
     window = value << (24 - (at & 7) - size)
-    byte, n_bytes = at >> 3, int(frame_bytes.sum()) + 3
+    byte, n_bytes = at >> 3, int(frame_bytes.sum()) + 8
     packed = np.bincount(byte, window >> 16, n_bytes) + np.bincount(byte + 1, window >> 8 & 255, n_bytes) + np.bincount(byte + 2, window & 255, n_bytes)
     packed = packed.astype(np.uint8)
-    packed[base] |= np.select([kind == -2, kind == -1], [0, 1], 8 + kind).astype(np.uint8) << 1
-    rice = kind >= 0
-    k_at = (base + 1 + kind)[rice]
-    packed[k_at] |= (k[rice] >> 2).astype(np.uint8)
-    packed[k_at + 1] |= ((k[rice] & 3) << 6).astype(np.uint8)
+    packed[base] |= np.select([kind == -2, kind == -1, linear], [0, 1, 31 + LPC], 8 + kind).astype(np.uint8) << 1
+    between = np.zeros(n_frames, np.int64)
+    for bits, n in ((PRECISION - 1, 4), (shift_of, 5), *((c & (1 << PRECISION) - 1, PRECISION) for c in coefficients)):
+        between = np.where(linear, between << n | bits, 0)
+    between = (between << 10 | k) << 56 - extra
+    for j in range(7):
+        packed[(base + 1 + order + j)[rice]] |= (between[rice] >> 48 - 8 * j & 255).astype(np.uint8)
     raw = packed.tobytes()
 
     body = [frame_header(j, n) + raw[f : f + m] for j, n, f, m in zip(number, counts.tolist(), base.tolist(), frame_bytes.tolist())]
@@ -268,18 +322,40 @@ def decode_frames(streams: list[bytes], spots: list[tuple[int, int, int]]) -> li
     fixed, lpc = (kind >= 8) & (kind <= 12), kind >= 32
     if not ((kind < 2) | fixed | lpc).all():
         raise FlacError("reserved subframe type")
-    # The common subframe, fixed order 0 or 1 with one partition of 4-bit parameters, has a loop of its own.
-    rice_at = byte + 1 + (kind == 9)
-    head = joined[rice_at].astype(np.int64) << 8 | joined[rice_at + 1]
-    simple = ((kind == 8) | (kind == 9)) & (head >> 10 == 0) & (head >> 6 & 15 != 15)
+    # The common subframe, with one partition of 4-bit parameters, has a loop of its own; samples come back from all residuals after it.
+    order = np.where(lpc, kind - 31, np.where(fixed, kind - 8, 0)).astype(np.int64)
+    after = (byte.astype(np.int64) + 1 + order) * 8
+    tail = np.concatenate([joined, np.zeros(8, np.uint8)]).astype(np.int64)
+
+    def bits(at: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+        """Up to 17 bits at bit places."""
+        b = np.minimum(at >> 3, len(joined))
+        return (tail[b] << 16 | tail[b + 1] << 8 | tail[b + 2]) >> (24 - (at & 7) - n) & ((1 << n) - 1)
+
+    precision, shift = bits(after, 4) + 1, np.where(lpc, bits(after + 4, 5), 0)
+    rice_at = after + np.where(lpc, 9 + order * precision, 0)
+    head = bits(rice_at, 10)
+    simple = (fixed | lpc) & (head >> 4 == 0) & (head & 15 != 15) & (shift < 16) & (counts > order)
     lot = np.flatnonzero(simple)
     if len(lot):
-        _one_partition(joined, lot, kind, counts, rice_at, head >> 6 & 15, out)
+        _one_partition(joined, lot, order, counts, rice_at, head & 15, out)
+        for i in range(int(order[lot].max())):
+            w = lot[order[lot] > i]
+            out[w, i] = signed[byte[w] + 1 + i]
         first = lot[kind[lot] == 9]
-        out[first, 0] = signed[byte[first] + 1]
         out[first] = np.cumsum(out[first], axis=1)
-        short = counts[first]
-        out[first] *= np.arange(width) < short[:, None]
+        out[first] *= np.arange(width) < counts[first][:, None]
+        higher = lot[order[lot] + lpc[lot] > 1]
+        if len(higher):
+            coef = np.zeros((len(higher), int(order[higher].max())), np.int64)
+            for i in range(coef.shape[1]):
+                w = np.flatnonzero(lpc[higher] & (order[higher] > i))
+                f = higher[w]
+                v = bits(after[f] + 9 + i * precision[f], precision[f])
+                coef[w, i] = np.where(v >> (precision[f] - 1) & 1, v - (1 << precision[f]), v)
+            for o, c in enumerate(FIXED[2:], 2):
+                coef[np.flatnonzero(~lpc[higher] & (order[higher] == o))[:, None], np.arange(o)] = c
+            _restore(higher, order, counts, coef, shift, out)
     todo = np.flatnonzero((fixed | lpc) & ~simple)
     if len(todo):
         _residuals(joined, todo, kind, counts, byte, out)
@@ -291,12 +367,28 @@ def decode_frames(streams: list[bytes], spots: list[tuple[int, int, int]]) -> li
 ZEROS = np.array([16 - i.bit_length() for i in range(1 << 16)], np.int32)
 
 
-def _one_partition(data: np.ndarray, lot: np.ndarray, kind: np.ndarray, counts: np.ndarray, rice_at: np.ndarray, k: np.ndarray, out: np.ndarray) -> None:
+def _restore(rows: np.ndarray, order: np.ndarray, counts: np.ndarray, coef: np.ndarray, shift: np.ndarray, out: np.ndarray) -> None:
+    """Samples from the residuals in ``out``, whose first ``order`` are samples already: every step predicts the next one of each frame."""
+    sort = np.argsort(-counts[rows], kind="stable")
+    rows, coef = rows[sort], np.ascontiguousarray(coef[sort, ::-1].T)  # oldest sample first
+    n, order, shift, top = counts[rows], order[rows], shift[rows], len(coef)
+    width = int(n.max())
+    left = np.ascontiguousarray(out[rows, :width].T)
+    samples = np.zeros((top + width, len(rows)), np.int64)
+    for i, m in enumerate(np.searchsorted(-n, -np.arange(width), side="left").tolist()):
+        guess = (samples[i : i + top, :m] * coef[:, :m]).sum(axis=0) >> shift[:m]
+        if i < top:
+            guess[order[:m] > i] = 0
+        np.add(guess, left[i, :m], out=samples[top + i, :m])
+    out[rows, :width] = samples[top:].T
+
+
+def _one_partition(data: np.ndarray, lot: np.ndarray, order: np.ndarray, counts: np.ndarray, rice_at: np.ndarray, k: np.ndarray, out: np.ndarray) -> None:
     """Residuals of frames with one Rice partition: every step reads the next code of each unfinished frame."""
-    lot = lot[np.argsort(-counts[lot] + (kind[lot] - 8), kind="stable")]
-    warm = (kind[lot] - 8).astype(np.int64)
+    lot = lot[np.argsort(order[lot] - counts[lot], kind="stable")]
+    warm = order[lot]
     n = counts[lot] - warm
-    cursor = rice_at[lot].astype(np.int64) * 8 + 10
+    cursor = rice_at[lot] + 10
     k = k[lot].astype(np.int32)
     mask = ((1 << k) - 1).astype(np.uint32)
     wide = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint32)
@@ -319,7 +411,7 @@ def _one_partition(data: np.ndarray, lot: np.ndarray, kind: np.ndarray, counts:
     if (cursor > limit).any():
         raise FlacError("residuals end early")
     got = (got >> 1) ^ -(got & 1)
-    for w in (0, 1):
+    for w in np.unique(warm).tolist():
         rows = warm == w
         out[lot[rows], w : w + steps] = got[: out.shape[1] - w, rows].T
 

@@ -669,7 +669,7 @@ def test_urls(spark):
 # FLAC
 
 
-def slow_decode(stream):
+def slow_decode(stream, seen=set()):  # noqa: B006
     """An independent bit-by-bit decoder of the streams that the encoder writes."""
     total, md5, points, first = flac.parse(stream)
     out = bytearray()
@@ -692,7 +692,15 @@ def slow_decode(stream):
         elif kind == 1:
             x = [signed(take(8)) for _ in range(count)]
         else:
-            x = [signed(take(8)) for _ in range(kind - 8)]
+            order = kind - 31 if kind >= 32 else kind - 8
+            x = [signed(take(8)) for _ in range(order)]
+            # What the predictors are: repeated differences, or the coefficients in the frame.
+            shift, c = 0, ([], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1])[order]
+            if kind >= 32:
+                width = take(4) + 1
+                shift = take(5)
+                c = [v - (1 << width) if v >> width - 1 else v for v in (take(width) for _ in range(order))]
+            seen.add(kind)
             assert take(2) == 0 and take(4) == 0
             k = take(4)
             while len(x) < count:
@@ -701,19 +709,23 @@ def slow_decode(stream):
                     q += 1
                 z = q << k | take(k)
                 r = -(z + 1 >> 1) if z & 1 else z >> 1
-                x.append(r + (x[-1] if kind == 9 else 0))
+                x.append(r + (sum(a * b for a, b in zip(c, x[::-1])) >> shift))
         out += bytes(v + 128 for v in x)
     assert len(out) == total and hashlib.md5(bytes(b ^ 0x80 for b in out)).digest() == md5
     return bytes(out)
 
 
 PAYLOADS = [flac.padded(t)[1] for t in TEXTS] + [bytes(np.random.default_rng(0).integers(0, 256, 6000, dtype=np.uint8)), bytes([0, 255] * 5000), b"\0" * 3000 + b"\xff" * 3000, bytes(range(256)) * 20]
+PAYLOADS += [bytes(v & 255 for v in made) for made in ([i * i // 400 for i in range(3000)], [128 + int(100 * np.sin(i / 9)) for i in range(5000)], [128 + int(9 * np.sin(i / 70) + 90 * np.sin(i / 31)) for i in range(5000)])]
+PAYLOADS += [b"x", b"ab", b"abc", b"abcd", b"abcde"]
 
 
 def test_flac_round_trip():
     streams = flac.encode(PAYLOADS)
     assert flac.decode(streams) == PAYLOADS
-    assert [slow_decode(s) for s in streams] == PAYLOADS
+    kinds = set()
+    assert [slow_decode(s, kinds) for s in streams] == PAYLOADS
+    assert kinds >= {9, 10, 35}  # fixed predictors of several orders and the linear one
     assert flac.encode([PAYLOADS[3]]) == [streams[3]]  # a stream doesn't depend on its neighbours
     long = max(range(len(PAYLOADS)), key=lambda i: len(PAYLOADS[i]))
     assert flac.read_samples(streams[long], 5000, 7000) == PAYLOADS[long][5000:12000]
