@@ -166,6 +166,7 @@ ORACLE_SQL: dict[str, str] = {
     "mix_unpivot": f"{BASE}, {MIXED} SELECT tool, 'standard' AS batch, {POS} + 4611686018427387904 AS pos, v AS keyword FROM mb WHERE (tool, col_idx) IN (SELECT (tool, max(col_idx)) FROM mb GROUP BY tool)",
     "tool_select": f"{BASE} SELECT pos, tool FROM kw WHERE lower(tool) IN ('small', 'standard')",
     "irrelevant_filter": f"{BASE} SELECT pos, tool, keyword FROM rel",
+    "large_lexicon": f"{BASE} SELECT pos, regexp_matches(lower(trim(keyword)), '[bk][a-z][a-z]') AS held FROM kw",
     "categorize": f"{BASE} SELECT pos, {_category('keyword')} AS category FROM kw",
     "tool_variants": f"{BASE} SELECT tool, array_to_string({VARIANTS}, '|') AS variants FROM (SELECT tool FROM kw UNION SELECT 'node.js pro' UNION SELECT 'r')",
     "plural": f"{BASE} SELECT w AS word, {PLURAL} AS singular FROM (SELECT unnest(string_split_regex(trim(lower(keyword)), '\\s+')) AS w FROM kw UNION {_values([(w,) for w in WORDS])})",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +101,9 @@ SELECT p_type AS tool, p_partkey AS chunk, 3 AS n, CAST(NULL AS STRING) AS error
 FROM part
 """
 
+#: More phrases than an expression takes: b or k and two letters.
+MANY = tuple(a + b + c for a in "bk" for b in ascii_lowercase for c in ascii_lowercase)
+
 WORDS = ("ties", "stories", "cases", "uses", "status", "access", "bus", "gas", "classes", "s", "ies", "series")
 
 
@@ -254,6 +258,11 @@ def irrelevant_filter(spark, d):
     return O.relevant(keywords(spark, d)).select("pos", "tool", "keyword")
 
 
+@query
+def large_lexicon(spark, d):
+    return keywords(spark, d).select("pos", X.contains_any(X.lowered(F.col("keyword")), MANY).alias("held"))
+
+
 @query
 def categorize(spark, d):
     return keywords(spark, d).select("pos", X.category(F.col("keyword")).alias("category"))

@@ -15,7 +15,7 @@ from ..functions.lexicon import DEFAULT, Lexicon
 
 def keyed_stream(keywords: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     """tool, batch, keyword with key_str and category; irrelevant and keyless rows go."""
-    relevant = keywords.where(~X.is_irrelevant(F.col("keyword"), F.col("tool")))
+    relevant = keywords.where(~X.is_irrelevant(F.col("keyword"), F.col("tool"), lex))
     keyed = relevant.withColumn("key_str", X.key_string(X.keyword_key(F.col("keyword"), F.col("tool"), lex)))
     return keyed.where("key_str <> ''").withColumn("category", X.category(F.col("keyword")))
 
