@@ -8,10 +8,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from phrasemill import queries
+from phrasemill import oracle, queries
 from phrasemill.operators import cluster, consolidate, setsim
 from phrasemill.plans.consolidation import Consolidation
 from phrasemill.plans.storage import Scope, discard, stored
+from phrasemill.sources import keywords as K
 from phrasemill.sources.sinks import COLUMNS, read_results, write_results
 from phrasemill.sources.workbook_writer import workbook
 from phrasemill.sources.xlsx import PUSHDOWN, WorkbookSource, read_cells
@@ -166,6 +167,46 @@ def test_a_partition_a_sheet(spark, books):
         read_cells(spark, f"{books}/nowhere.xlsx").collect()
 
 
+@pytest.mark.parametrize("name", ["cli_run"])
+def test_rows_beyond_a_sheet_equal_sql(spark, tmp_path, name):
+    """Keys, and so rows of tabs, on both sides of 2**20."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"copy (select * replace (p_partkey + {(1 << 20) - 100} as p_partkey) from '{SMALL}/part.parquet') to '{tmp_path}/part.parquet'")
+    con.sql(f"create view part as from '{tmp_path}/part.parquet'")
+    df = queries.QUERIES[name](spark, str(tmp_path))
+    df.write.parquet(str(tmp_path / "q"))
+    cols = ", ".join(df.columns)
+    got, want = (sorted(map(repr, con.sql(f"select {cols} from {t}").fetchall())) for t in (f"'{tmp_path}/q/*.parquet'", f"({oracle.ORACLE_SQL[name]})"))
+    assert got == want != []
+
+
+KINDS = "path string, sheet_idx int, sheet string, row_idx int, col_idx int, value string"
+#: Workbook, tab, row: tab 0 reaches over the numbers of 1 to 3, tab 4 is another tool's, tab 9 and the second workbook are out of reach.
+FAR = [("a", 0, 1), ("a", 0, 3 * 2**20 + 7), ("a", 1, 1), ("a", 1, 2**20), ("a", 2, 5), ("a", 3, 2), ("a", 9, 1), ("b", 0, 2)]
+
+
+def own_place(book, tab, row, col):
+    return ("ab".index(book) << 46) + (tab << 34) + (row << 14) + col
+
+
+def check_far(rows, top=0):
+    """Positions are distinct and in order; only tabs within reach have moved."""
+    placed = sorted((r.pos - top, tuple(x if x in "ab" else int(x) for x in r.keyword.split()[2:])) for r in rows)
+    assert [w for _, w in placed] == sorted(w for _, w in placed) and len({p for p, _ in placed}) == len(placed)
+    assert {w[:2] for p, w in placed if p != own_place(*w)} == {("a", 1), ("a", 2), ("a", 3)}
+    return len(placed)
+
+
+def test_long_tabs_push_later_ones_of_their_tool(spark):
+    rows = [(p, i, "Jira", r, c, f"add board {p} {i} {r} {c}") for p, i, r in FAR for c in (0, 2**14 - 1)]
+    rows.append(("a", 4, "Notion", 6, 0, "add page"))
+    found = K.tab_keywords(spark.createDataFrame(rows, KINDS)).collect()
+    assert check_far([r for r in found if r.tool == "Jira"]) == 16
+    assert [r.pos for r in found if r.tool == "Notion"] == [own_place("a", 4, 6, 0)]
+
+
 def test_pruned_columns_and_pushed_filters(spark, books):
     spark.dataSource.register(WorkbookSource)
     two = spark.read.format("workbook").schema("value string, sheet string").load(f"{books}/book0.xlsx")
