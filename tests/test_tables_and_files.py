@@ -167,7 +167,7 @@ def test_a_partition_a_sheet(spark, books):
         read_cells(spark, f"{books}/nowhere.xlsx").collect()
 
 
-@pytest.mark.parametrize("name", ["cli_run"])
+@pytest.mark.parametrize("name", ["cli_run", "mix_unpivot"])
 def test_rows_beyond_a_sheet_equal_sql(spark, tmp_path, name):
     """Keys, and so rows of tabs, on both sides of 2**20."""
     import duckdb
@@ -207,6 +207,15 @@ def test_long_tabs_push_later_ones_of_their_tool(spark):
     assert [r.pos for r in found if r.tool == "Notion"] == [own_place("a", 4, 6, 0)]
 
 
+def test_long_mixed_tabs_push_later_ones_of_their_tools(spark):
+    rows = [(p, i, "Mix of tools", r, c, f"add board {p} {i} {r} {c}") for p, i, r in FAR for c in (3, 2**14 - 1)]
+    rows += [(p, i, "Mix of tools", 0, c, tool) for p, i in sorted({f[:2] for f in FAR}) for c, tool in ((3, "Jira"), (2**14 - 1, "Notion"))]
+    rows += [("a", 4, "Mix of tools", r, 8, v) for r, v in ((0, "Asana"), (6, "add page"))]
+    found = K.mix_keywords(spark.createDataFrame(rows, KINDS)).collect()
+    assert [check_far([r for r in found if r.tool == t], 1 << 62) for t in ("Jira", "Notion")] == [8, 8]
+    assert [r.pos for r in found if r.tool == "Asana"] == [(1 << 62) + own_place("a", 4, 6, 8)]
+
+
 def test_pruned_columns_and_pushed_filters(spark, books):
     spark.dataSource.register(WorkbookSource)
     two = spark.read.format("workbook").schema("value string, sheet string").load(f"{books}/book0.xlsx")
