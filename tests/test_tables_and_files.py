@@ -167,7 +167,7 @@ def test_a_partition_a_sheet(spark, books):
         read_cells(spark, f"{books}/nowhere.xlsx").collect()
 
 
-@pytest.mark.parametrize("name", ["cli_run", "mix_unpivot"])
+@pytest.mark.parametrize("name", ["cli_run", "mix_unpivot", "tab_keywords"])
 def test_rows_beyond_a_sheet_equal_sql(spark, tmp_path, name):
     """Keys, and so rows of tabs, on both sides of 2**20."""
     import duckdb
