@@ -182,6 +182,13 @@ def test_rows_beyond_a_sheet_equal_sql(spark, tmp_path, name):
     assert got == want != []
 
 
+@pytest.mark.parametrize("name", ["mix_unpivot"])
+def test_no_task_takes_the_whole_corpus(spark, name):
+    """Tabs are numbered by their names, not by a window over all keywords."""
+    plan = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "SinglePartition" not in plan
+
+
 KINDS = "path string, sheet_idx int, sheet string, row_idx int, col_idx int, value string"
 #: Workbook, tab, row: tab 0 reaches over the numbers of 1 to 3, tab 4 is another tool's, tab 9 and the second workbook are out of reach.
 FAR = [("a", 0, 1), ("a", 0, 3 * 2**20 + 7), ("a", 1, 1), ("a", 1, 2**20), ("a", 2, 5), ("a", 3, 2), ("a", 9, 1), ("b", 0, 2)]
