@@ -182,7 +182,7 @@ def test_rows_beyond_a_sheet_equal_sql(spark, tmp_path, name):
     assert got == want != []
 
 
-@pytest.mark.parametrize("name", ["mix_unpivot"])
+@pytest.mark.parametrize("name", ["mix_unpivot", "tab_keywords"])
 def test_no_task_takes_the_whole_corpus(spark, name):
     """Tabs are numbered by their names, not by a window over all keywords."""
     plan = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
